@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import argparse
 import time
+from collections import Counter
 
 import duckdb
 import pandas as pd
@@ -42,7 +43,7 @@ def differences(spark: SparkSession, con: duckdb.DuckDBPyConnection, name: str,
     mine = QUERIES[name](spark, sf).toArrow()
     if name not in SQL:
         return [] if mine.num_rows >= 0 else ["no rows"]
-    theirs = con.execute(SQL[name]).to_arrow_table()
+    theirs = con.sql(SQL[name]).to_arrow_table()
     found = []
     types = lambda t: {f.name: str(f.type).replace("large_", "") for f in t.schema}
     if types(mine) != types(theirs):
@@ -50,9 +51,9 @@ def differences(spark: SparkSession, con: duckdb.DuckDBPyConnection, name: str,
     a, b = _canonical(mine.to_pandas()), _canonical(theirs.to_pandas())
     if len(a) != len(b):
         found.append(f"rows {len(a)} != {len(b)}")
-    only_a, only_b = [x for x in a if x not in set(b)][:2], [x for x in b if x not in set(a)][:2]
-    if only_a or only_b or (a != b and len(a) == len(b)):
-        found.append(f"only spark {str(only_a)[:600]} only sql {str(only_b)[:600]}")
+    if a != b:
+        extra, missing = Counter(a) - Counter(b), Counter(b) - Counter(a)
+        found.append(f"only spark {str(list(extra)[:2])[:600]} only sql {str(list(missing)[:2])[:600]}")
     if not a:
         found.append("both empty")
     return found
@@ -65,7 +66,7 @@ def main() -> None:
     args = parser.parse_args()
     spark = (
         SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
-        .config("spark.driver.memory", "8g").config("spark.ui.enabled", "false").getOrCreate()
+        .config("spark.driver.memory", "8g").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(args.sf)

@@ -22,8 +22,10 @@ def src_csv(spark, sf):
     """Quotes and line breaks inside fields survive, and rows keep their order."""
     path = scratch_path(spark, "csv")
     docs = corpus(spark, sf).selectExpr("doc_id AS id", "title", "abstract AS body", "year AS pub_year", "author_keywords AS tags")
-    docs.repartitionByRange("id").sortWithinPartitions("id").write.options(header=True, escape='"').csv(path)
-    return sources.with_row_idx(sources.read_csv(spark, path, ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"))
+    docs.repartitionByRange("id").sortWithinPartitions("id").write.options(
+        header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(path)
+    return sources.with_row_idx(sources.read_csv(spark, path))
 
 
 @check("src_jsonl", with_sql("SELECT doc_id AS id, abstract AS text, year, doc_id AS row_idx FROM corpus"))
@@ -43,7 +45,7 @@ def src_id_list(spark, sf):
 
 
 @check("src_pubmed_xml", with_sql("""SELECT doc_id + 1 AS doc_id, year, title, concat('BACKGROUND: ', abstract, ' ', run_id) AS abstract,
-  array_to_string(list_transform(list_filter(string_split(author_keywords, '; '), k -> trim(k) <> ''), k -> trim(k)), '; ') AS author_keywords,
+  array_to_string(list_transform(list_filter(string_split(author_keywords, '; '), lambda k: trim(k) <> ''), lambda k: trim(k)), '; ') AS author_keywords,
   concat('Source ', run_id) AS mesh_terms FROM corpus WHERE doc_id % 17 <> 3"""))
 def src_pubmed_xml(spark, sf):
     """Nested markup, labelled abstract parts, escaped text; records without an id are skipped."""

@@ -30,7 +30,7 @@ SWEEP = {
       CASE WHEN n_topics < 4 THEN 'n_topics<4' END, CASE WHEN n_topics > 150 THEN 'n_topics>150' END,
       CASE WHEN NOT coalesce(silhouette >= 0.25, false) THEN 'silhouette<0.25' END,
       CASE WHEN coalesce(imbalance >= 4, false) THEN 'imbalance≥4' END,
-      CASE WHEN min_count < 12 THEN 'min_count<12' END], x -> x IS NOT NULL) AS reasons FROM metrics)""",
+      CASE WHEN min_count < 12 THEN 'min_count<12' END], lambda x: x IS NOT NULL) AS reasons FROM metrics)""",
     "chosen": "SELECT quantile_disc(mts, 0.5) AS mts FROM gated WHERE passed",
 }
 CUTOFF = q.Cutoff(n_topics_max=150, imbalance_max=4, min_count_in_topics=12)

@@ -74,10 +74,10 @@ def tokenize(spark, sf):
 
 
 NGRAMS = f"""SELECT doc_id, topic, unnest(list_concat(t,
-    list_transform(range(1, len(t)), i -> concat(t[i], ' ', t[i + 1])),
-    list_transform(range(1, len(t) - 1), i -> concat(t[i], ' ', t[i + 1], ' ', t[i + 2])))) AS term
+    list_transform(range(1, len(t)), lambda i: concat(t[i], ' ', t[i + 1])),
+    list_transform(range(1, len(t) - 1), lambda i: concat(t[i], ' ', t[i + 1], ' ', t[i + 2])))) AS term
   FROM (SELECT doc_id, topic, list_filter(regexp_extract_all(lower(abstract), '[\\p{{L}}\\p{{N}}_]{{2,}}'),
-        w -> w NOT IN ({STOP_LIST})) AS t FROM corpus)"""
+        lambda w: w NOT IN ({STOP_LIST})) AS t FROM corpus)"""
 
 
 @check("ngrams_1_3", with_sql("SELECT doc_id, term, count(*) AS tf FROM grams GROUP BY doc_id, term", grams=NGRAMS))

@@ -43,9 +43,11 @@ def keyword_array(keywords: Column, delimiter: str = KEYWORD_DELIMITER) -> Colum
     return F.filter(F.transform(parts, lambda k: F.lower(strip(k))), lambda k: k != "")
 
 
-def keyword_occurrences(keywords: Column, delimiter: str = KEYWORD_DELIMITER) -> Column:
-    """Distinct keywords of one document as (keyword, occurrences, first position)."""
-    words = keyword_array(keywords, delimiter)
+def keyword_occurrences(words: str) -> Column:
+    """Distinct keywords of one document as (keyword, occurrences, first position).
+
+    `words` names a stored array column: a lambda would evaluate an expression per element.
+    """
     return F.transform(
         F.array_distinct(words),
         lambda k: F.struct(
@@ -65,12 +67,17 @@ def tokens(text: Column, stop_words: Sequence[str] | None = None) -> Column:
     return F.filter(found, lambda t: ~t.isin(words))
 
 
-def word_ngrams(words: Column, smallest: int = 1, largest: int = 3) -> Column:
-    """All runs of `smallest`..`largest` consecutive words, joined by a blank."""
+def word_ngrams(words: str, smallest: int = 1, largest: int = 3) -> Column:
+    """All runs of `smallest`..`largest` consecutive words, joined by a blank.
+
+    `words` names a stored array column, see `keyword_occurrences`.
+    """
+    size = F.size(words)
+
     def of_length(n: int) -> Column:
         if n == 1:
-            return words
-        starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1)))
+            return F.col(words)
+        starts = F.when(size >= n, F.sequence(F.lit(1), size - (n - 1)))
         grams = F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
         return F.coalesce(grams, F.array().cast("array<string>"))
 

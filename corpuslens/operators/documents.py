@@ -66,8 +66,9 @@ def document_ngrams(
     largest: int = 3,
 ) -> DataFrame:
     """(doc_id, term, tf): word n-grams of every document with their frequency."""
-    grams = tx.word_ngrams(tx.tokens(F.col(text), stop_words), smallest, largest)
-    return docs.select("doc_id", F.explode(grams).alias("term")).groupBy("doc_id", "term").agg(
+    words = docs.select("doc_id", tx.tokens(F.col(text), stop_words).alias("_words"))
+    grams = tx.word_ngrams("_words", smallest, largest)
+    return words.select("doc_id", F.explode(grams).alias("term")).groupBy("doc_id", "term").agg(
         F.count(F.lit(1)).alias("tf")
     )
 

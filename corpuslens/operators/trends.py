@@ -60,7 +60,8 @@ def keyword_years(docs: DataFrame, column: str = "author_keywords") -> DataFrame
 
     `occurrences` counts every mention, `n` counts documents.
     """
-    rows = docs.select("topic", "year", "row_idx", F.explode(tx.keyword_occurrences(F.col(column))).alias("k"))
+    words = docs.select("topic", "year", "row_idx", tx.keyword_array(F.col(column)).alias("_words"))
+    rows = words.select("topic", "year", "row_idx", F.explode(tx.keyword_occurrences("_words")).alias("k"))
     return rows.groupBy("topic", F.col("k.keyword").alias("keyword"), "year").agg(
         F.sum("k.occurrences").alias("occurrences"),
         F.count(F.lit(1)).alias("n"),

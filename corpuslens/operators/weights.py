@@ -27,9 +27,8 @@ def term_counts(
     ngrams: tuple[int, int] = (1, 1),
 ) -> DataFrame:
     """(topic, term, tf): the tokens are counted on the map side before anything is shuffled."""
-    words = tx.tokens(F.col(text), stop_words)
-    terms = words if ngrams == (1, 1) else tx.word_ngrams(words, *ngrams)
-    return docs.select("topic", F.explode(terms).alias("term")).groupBy("topic", "term").agg(
+    words = docs.select("topic", tx.tokens(F.col(text), stop_words).alias("_words"))
+    return words.select("topic", F.explode(tx.word_ngrams("_words", *ngrams)).alias("term")).groupBy("topic", "term").agg(
         F.count(F.lit(1)).alias("tf")
     )
 

@@ -49,4 +49,6 @@ def export_csv(df: DataFrame, path: str, *, bom: bool = False, list_delimiter: s
     out = df.select(*flat)
     if bom and out.columns:
         out = out.withColumnRenamed(out.columns[0], "﻿" + out.columns[0])
-    out.write.mode("overwrite").options(header=True, escape='"').csv(path)
+    out.write.mode("overwrite").options(
+        header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(path)

@@ -6,11 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslens.functions.text import strip
-from corpuslens.sources.files import origin_columns
+from corpuslens.sources.files import ORIGIN, origin_columns
 
-RECORD_START = "<PubmedArticle"
-RECORD_END = "</PubmedArticle>"
-ATOM_SCHEMA = "title STRING, summary STRING, published STRING, category ARRAY<STRUCT<_term: STRING>>"
 
 
 def _elements(xml: Column, tag: str) -> Column:
@@ -74,24 +71,28 @@ def citation_rows(records: DataFrame, xml: str = "value") -> DataFrame:
     )
 
 
+def _records(spark: SparkSession, path: str, tag: str) -> DataFrame:
+    """One `<tag>...</tag>` fragment per row. Files are split at the end tag, so that a file of
+    any size is shared by tasks; text before the first start tag is cut off."""
+    pieces = spark.read.text(path, lineSep=f"</{tag}>").select("value", *origin_columns())
+    # The tag must end here: `<PubmedArticleSet>` opens a file and shares the prefix.
+    fragment = F.regexp_extract("value", rf"(?s)(<{tag}(?:\s[^>]*)?>.*)$", 1)
+    cut = pieces.withColumn("value", fragment).where(F.col("value") != "")
+    return cut.withColumn("value", F.concat("value", F.lit(f"</{tag}>")))
+
+
 def read_citations(spark: SparkSession, path: str) -> DataFrame:
-    """Citation XML files of any size, split at the record end so that tasks share a file."""
-    lines = spark.read.text(path, lineSep=RECORD_END).select("value", *origin_columns())
-    start = F.locate(RECORD_START, F.col("value"))
-    # `<PubmedArticleSet>` opens the file and shares the prefix: cut at the record itself.
-    cut = F.regexp_extract("value", r"(?s)(<PubmedArticle(?:\s[^>]*)?>.*)$", 1)
-    records = lines.where(start > 0).withColumn("value", F.concat(cut, F.lit(RECORD_END)))
-    return citation_rows(records.where(F.col("value") != RECORD_END))
+    """Citation XML files as corpus rows, see `citation_rows`."""
+    return citation_rows(_records(spark, path, "PubmedArticle"))
 
 
 def read_atom_feed(spark: SparkSession, path: str) -> DataFrame:
     """Atom entries: title, abstract, year and category terms (joined by '; ')."""
-    entries = spark.read.format("xml").option("rowTag", "entry").schema(ATOM_SCHEMA).load(path)
-    terms = F.filter(F.transform("category", lambda c: c["_term"]), lambda t: t.isNotNull() & (t != ""))
+    entries = _records(spark, path, "entry")
     return entries.select(
-        strip(F.col("title")).alias("title"),
-        strip(F.col("summary")).alias("abstract"),
-        F.substring("published", 1, 4).alias("year"),
-        F.array_join(terms, "; ").alias("keywords"),
-        *origin_columns(),
+        strip(F.expr("xpath_string(value, 'entry/title')")).alias("title"),
+        strip(F.expr("xpath_string(value, 'entry/summary')")).alias("abstract"),
+        F.substring(F.expr("xpath_string(value, 'entry/published')"), 1, 4).alias("year"),
+        _join_nonempty(F.expr("xpath(value, 'entry/category/@term')")).alias("keywords"),
+        *ORIGIN,
     )
