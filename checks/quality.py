@@ -41,9 +41,9 @@ def sweep(spark, sf):
     docs = table(spark, sf, "documents")
     group = F.dense_rank().over(Window.orderBy("lang", "source"))
     groups = docs.groupBy("lang", "source").agg(F.count("*").alias("n")).withColumn("group", group)
-    grid = q.sweep_grid(docs)
-    named = docs.select("doc_id", "lang", "source").join(F.broadcast(groups), ["lang", "source"])
-    candidates = named.join(F.broadcast(grid)).select(
+    grid = F.array(*[F.struct(F.lit(r.grid_idx).alias("grid_idx"), F.lit(r.mts).alias("mts")) for r in q.sweep_grid(docs).collect()])
+    named = docs.select("doc_id", "lang", "source").join(groups, ["lang", "source"])
+    candidates = named.select("doc_id", "n", "group", F.inline(grid)).select(
         "grid_idx", "mts", "doc_id", F.when(F.col("n") >= F.col("mts"), F.col("group")).otherwise(-1).alias("topic")
     )
     metrics = q.topic_metrics(candidates, ["grid_idx", "mts"])

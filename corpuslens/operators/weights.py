@@ -42,12 +42,11 @@ def ctfidf(counts: DataFrame, seeds: DataFrame | None = None, seed_factor: float
     """
     counts = durable(counts)
     totals = durable(counts.groupBy("topic").agg(F.sum("tf").alias("_words")))
-    average = totals.agg(F.floor(F.avg("_words")).cast("double").alias("_average"))
+    average = totals.agg(F.floor(F.avg("_words")).cast("double")).first()[0]
     weighted = (
         counts.withColumn("_f", F.sum("tf").over(Window.partitionBy("term")))
         .join(small_side(totals), "topic")
-        .join(F.broadcast(average))
-        .withColumn("idf", F.log(1 + F.col("_average") / F.col("_f")))
+        .withColumn("idf", F.log(1 + F.lit(average) / F.col("_f")))
     )
     if seeds is not None:
         marked = small_side(seeds.select("term").distinct().withColumn("_seed", F.lit(seed_factor)))

@@ -45,9 +45,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Cut the lineage through reliable storage: a lost executor does not lose the rows."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write `df` to the shared folder and go on from there.
+
+    This cuts the lineage: a lost executor does not lose the rows, and what follows reads a
+    Parquet table whose size the optimizer knows.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
