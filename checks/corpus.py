@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corpuslens.sources import spread
+
 CORPUS_SQL = """
 SELECT d.doc_id AS doc_id, d.doc_id AS row_idx,
   CASE WHEN d.doc_id % 41 = 0 THEN NULL
@@ -50,6 +52,12 @@ def corpus(spark: SparkSession, sf: str) -> DataFrame:
     return spark.sql(CORPUS_SQL, documents=table(spark, sf, "documents"), embeddings=table(spark, sf, "embeddings"))
 
 
+def text_corpus(spark: SparkSession, sf: str) -> DataFrame:
+    """The same rows for queries that work on the texts: a small table is spread over the cores."""
+    documents = spread(table(spark, sf, "documents"))
+    return spark.sql(CORPUS_SQL, documents=documents, embeddings=table(spark, sf, "embeddings"))
+
+
 def labels(spark: SparkSession, sf: str) -> DataFrame:
     return spark.sql(LABELS_SQL, embeddings=table(spark, sf, "embeddings"))
 

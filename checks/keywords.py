@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.corpus import COUNTS, CTFIDF, STOP_WORDS, corpus, keyword_rows, token_rows, vectors, with_sql
+from checks.corpus import COUNTS, CTFIDF, STOP_WORDS, corpus, keyword_rows, text_corpus, token_rows, vectors, with_sql
 from checks.registry import check
 from checks.text import COUNTED
 from corpuslens.operators import keywords as k
@@ -22,7 +22,7 @@ TERM_CTES = {"tok": token_rows(), "counts": COUNTS, "weights": CTFIDF}
 
 
 def weights(spark, sf, seeds=None):
-    return w.ctfidf(w.term_counts(corpus(spark, sf), stop_words=STOP_WORDS), seeds)
+    return w.ctfidf(w.term_counts(text_corpus(spark, sf), stop_words=STOP_WORDS), seeds)
 
 
 @check("topic_doc_counts", with_sql(COUNTED))
@@ -118,4 +118,4 @@ def reassign_outliers(spark, sf):
 @check("keybert_terms")
 def keybert_terms(spark, sf):
     vecs = vectors(spark, sf).select("doc_id", "embedding")
-    return v.keybert_terms(corpus(spark, sf), vecs, stop_words=STOP_WORDS)
+    return v.keybert_terms(text_corpus(spark, sf), vecs, stop_words=STOP_WORDS)

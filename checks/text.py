@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.corpus import (
-    STOP_LIST, STOP_WORDS, assignment, corpus, keyword_rows, labels, token_rows, vectors, with_sql,
+    STOP_LIST, STOP_WORDS, assignment, corpus, keyword_rows, labels, text_corpus, token_rows, vectors,
+    with_sql,
 )
 from checks.registry import check
 from corpuslens.operators import documents as d
@@ -22,7 +23,7 @@ CLEANED = (
 
 
 def noisy(spark, sf):
-    return corpus(spark, sf).withColumn("abstract", F.expr(NOISY))
+    return text_corpus(spark, sf).withColumn("abstract", F.expr(NOISY))
 
 
 @check("clean_text", with_sql("SELECT * FROM cleaned", cleaned=CLEANED))
@@ -37,7 +38,7 @@ MOSTLY = "CASE WHEN doc_id % 20 = 0 THEN ' [1, 2] 42 www.a.b ' ELSE abstract END
 @check("clean_empty_count", with_sql("""SELECT count(*) AS n_docs, count(*) FILTER (doc_id % 20 = 0 OR NOT regexp_matches(abstract, '[^\\s\\d.]')) AS n_empty
   FROM corpus"""))
 def clean_empty_count(spark, sf):
-    docs = corpus(spark, sf).withColumn("abstract", F.expr(MOSTLY))
+    docs = text_corpus(spark, sf).withColumn("abstract", F.expr(MOSTLY))
     return d.clean_empty_count(d.clean_documents(docs))
 
 
@@ -70,7 +71,7 @@ def split_keywords(spark, sf):
 @check("tokenize", with_sql("""SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS INT) AS pos, term FROM tok""",
                             tok=token_rows()))
 def tokenize(spark, sf):
-    return d.document_tokens(corpus(spark, sf), stop_words=STOP_WORDS)
+    return d.document_tokens(text_corpus(spark, sf), stop_words=STOP_WORDS)
 
 
 NGRAMS = f"""SELECT doc_id, topic, unnest(list_concat(t,

@@ -65,8 +65,12 @@ def document_ngrams(
     smallest: int = 1,
     largest: int = 3,
 ) -> DataFrame:
-    """(doc_id, term, tf): word n-grams of every document with their frequency."""
-    words = docs.select("doc_id", tx.tokens(F.col(text), stop_words).alias("_words"))
+    """(doc_id, term, tf): word n-grams of every document with their frequency.
+
+    The texts are partitioned by document, so that their many more n-grams need no shuffle.
+    """
+    placed = docs.select("doc_id", F.col(text).alias("_text")).repartition("doc_id")
+    words = placed.select("doc_id", tx.tokens(F.col("_text"), stop_words).alias("_words"))
     grams = tx.word_ngrams("_words", smallest, largest)
     return words.select("doc_id", F.explode(grams).alias("term")).groupBy("doc_id", "term").agg(
         F.count(F.lit(1)).alias("tf")

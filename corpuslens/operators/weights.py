@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuslens.functions import text as tx
+from corpuslens.operators.documents import document_ngrams
 from corpuslens.operators.keywords import TOP_N, top_n_per_group
 from corpuslens.schema import OUTLIER
 from corpuslens.session import durable, salted_join, small_side
@@ -88,12 +89,7 @@ def reassign_outliers(
         .agg(F.collect_list(F.struct("topic", "score")).alias("_topics"))
         .join(vocabulary, "term")
     )
-    outliers = docs.where(F.col("topic") == OUTLIER)
-    doc_terms = (
-        outliers.select("doc_id", F.explode(tx.tokens(F.col(text), stop_words)).alias("term"))
-        .groupBy("doc_id", "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
+    doc_terms = document_ngrams(docs.where(F.col("topic") == OUTLIER), text, stop_words, 1, 1)
     # The document's own norm is the same for all its topics and cannot change the choice.
     dots = (
         salted_join(doc_terms, packed, ["term"], "doc_id", salts)

@@ -3,6 +3,7 @@ from corpuslens.sources.files import (
     read_csv,
     read_jsonl,
     read_text_folder,
+    spread,
     with_row_idx,
 )
 from corpuslens.sources.ingest import assign_doc_id, id_quality, map_columns
@@ -21,5 +22,6 @@ __all__ = [
     "read_csv",
     "read_jsonl",
     "read_text_folder",
+    "spread",
     "with_row_idx",
 ]

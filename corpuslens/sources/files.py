@@ -78,6 +78,16 @@ def read_text_folder(spark: SparkSession, path: str, glob: str = "*.txt") -> Dat
     )
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on a table stored in a few blocks.
+
+    A scan with at least two partitions per core, like that of any large table, stays as it is;
+    only a smaller one is redistributed before costly work on its rows.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= 2 * cores else df.repartition(cores)
+
+
 def read_citation_ids(spark: SparkSession, path: str, column: str = "pmid") -> DataFrame:
     """Id list from a CSV: nulls dropped, cast to BIGINT; use it as a semi-join filter."""
     df = spark.read.options(header=True).csv(path)
