@@ -15,10 +15,11 @@ from corpuslens.functions import text as tx
 from corpuslens.operators.documents import document_ngrams
 from corpuslens.operators.keywords import TOP_N, top_n_per_group
 from corpuslens.schema import OUTLIER
-from corpuslens.session import durable, salted_join, small_side
+from corpuslens.session import BROADCAST_ROWS, durable, salted_join, small_side
 
 TIE_DIGITS = 9
 SEED_FACTOR = 1.2
+HOT_TERMS = 10_000
 
 
 def term_counts(
@@ -71,35 +72,41 @@ def reassign_outliers(
     weights: DataFrame,
     text: str = "abstract",
     stop_words: Sequence[str] | None = None,
-    salts: int = 8,
+    salts: int = 64,
+    lookup_terms: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """(doc_id, topic): outliers move to the topic with the most similar term weights.
 
     Similarity is the cosine between the document's and the topic's weights; a document that
     shares no term with any topic stays an outlier, and all other documents keep their topic.
-    Frequent terms are salted, because a third of the documents may hold the same word.
+
+    A vocabulary of at most `lookup_terms` terms is looked up where the documents are. A larger
+    one is joined on the term, with the frequent terms salted: a term is frequent if it makes up
+    more than 1 / HOT_TERMS of the outliers' words, so there are fewer than HOT_TERMS of them.
     """
-    vocabulary = weights.select("term", "idf").distinct()
-    topic_norms = weights.where(F.col("topic") != OUTLIER).groupBy("topic").agg(
-        F.sqrt(F.sum(F.col("score") * F.col("score"))).alias("_topic_norm")
-    )
-    packed = (
-        weights.where(F.col("topic") != OUTLIER)
-        .groupBy("term")
-        .agg(F.collect_list(F.struct("topic", "score")).alias("_topics"))
-        .join(vocabulary, "term")
-    )
+    weights = durable(weights)
+    in_topics = weights.where(F.col("topic") != OUTLIER)
+    topic_norms = in_topics.groupBy("topic").agg(F.sqrt(F.sum(F.col("score") * F.col("score"))).alias("_topic_norm"))
+    packed = durable(in_topics.groupBy("term").agg(
+        F.first("idf").alias("idf"), F.collect_list(F.struct("topic", "score")).alias("_topics")
+    ))
     doc_terms = document_ngrams(docs.where(F.col("topic") == OUTLIER), text, stop_words, 1, 1)
+    if packed.count() <= lookup_terms:
+        matched = doc_terms.join(F.broadcast(packed), "term")
+    else:
+        spoken = weights.where(F.col("topic") == OUTLIER)
+        words = spoken.agg(F.sum("tf")).first()[0] or 0
+        hot = spoken.where(F.col("tf") * HOT_TERMS > words).select("term")
+        matched = salted_join(doc_terms, packed, "term", hot, "doc_id", salts)
     # The document's own norm is the same for all its topics and cannot change the choice.
     dots = (
-        salted_join(doc_terms, packed, ["term"], "doc_id", salts)
-        .select("doc_id", (F.col("tf") * F.col("idf")).alias("_w"), F.inline("_topics"))
+        matched.select("doc_id", (F.col("tf") * F.col("idf")).alias("_w"), F.inline("_topics"))
         .groupBy("doc_id", "topic")
         .agg(F.sum(F.col("_w") * F.col("score")).alias("_dot"))
     )
     similarity = F.round(F.col("_dot") / F.col("_topic_norm"), TIE_DIGITS)
     best = (
-        dots.join(topic_norms, "topic")
+        dots.join(small_side(durable(topic_norms)), "topic")
         .groupBy("doc_id")
         .agg(F.max_by("topic", F.struct(similarity, -F.col("topic"))).alias("_best"))
     )

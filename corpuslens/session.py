@@ -66,11 +66,15 @@ def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if few else df
 
 
-def salted_join(big: DataFrame, small: DataFrame, on: list[str], salt_by: str, salts: int) -> DataFrame:
-    """Inner equi-join that spreads every key of `big` over `salts` partitions.
+def salted_join(big: DataFrame, small: DataFrame, key: str, hot: DataFrame, salt_by: str, salts: int) -> DataFrame:
+    """Inner join on `key` that spreads the frequent keys of `big` over `salts` partitions.
 
-    `small` is repeated once per salt, so it should hold few rows per key.
+    `hot` lists those keys and must be bounded by how it was chosen; only their rows of `small`
+    are repeated, once per salt.
     """
-    left = big.withColumn("_salt", F.pmod(F.xxhash64(salt_by), F.lit(salts)))
-    right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-    return left.join(right, [*on, "_salt"]).drop("_salt")
+    marks = F.broadcast(hot.select(key).withColumn("_hot", F.lit(True)))
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(salt_by), F.lit(salts)).cast("int")).otherwise(F.lit(0))
+    every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    left = big.join(marks, key, "left").withColumn("_salt", salt).drop("_hot")
+    right = small.join(marks, key, "left").withColumn("_salt", F.explode(every)).drop("_hot")
+    return left.join(right, [key, "_salt"]).drop("_salt")

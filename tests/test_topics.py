@@ -61,8 +61,9 @@ def test_outliers_move_to_the_most_similar_topic(spark):
         (1, 0, "fish river water"), (2, 1, "star moon orbit"), (3, -1, "moon star fish"), (4, -1, "nothing shared"), (5, -1, ""),
     ], "doc_id long, topic int, abstract string")
     weights = w.ctfidf(w.term_counts(docs))
-    got = {x.doc_id: x.topic for x in w.reassign_outliers(docs, weights, salts=3).collect()}
-    assert got == {1: 0, 2: 1, 3: 1, 4: -1, 5: -1}
+    looked_up = {x.doc_id: x.topic for x in w.reassign_outliers(docs, weights).collect()}
+    joined = {x.doc_id: x.topic for x in w.reassign_outliers(docs, weights, salts=3, lookup_terms=0).collect()}
+    assert looked_up == joined == {1: 0, 2: 1, 3: 1, 4: -1, 5: -1}
 
 
 def brute_density(points):
