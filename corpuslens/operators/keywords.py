@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpuslens.functions.text import keyword_array
+from corpuslens.functions.text import keyword_array, keyword_occurrences
 from corpuslens.schema import OUTLIER
 
 TOP_N = 10
@@ -27,22 +27,24 @@ def distinct_topics(docs: DataFrame) -> DataFrame:
 
 
 def keyword_counts(docs: DataFrame, column: str) -> DataFrame:
-    """(topic, keyword, n, first_seen): occurrences per topic, outliers excluded.
+    """(topic, keyword, n, first_row, first_pos): occurrences per topic, outliers excluded.
 
-    `first_seen` is where the keyword appears first, which settles ties like an
-    insertion-ordered counter does.
+    The first appearance settles ties like an insertion-ordered counter does. Both halves of it
+    are plain numbers, which keeps the count a hash aggregate that combines before the shuffle.
     """
-    exploded = docs.where(F.col("topic") != OUTLIER).select(
-        "topic", "row_idx", F.posexplode(keyword_array(F.col(column))).alias("pos", "keyword")
-    )
-    return exploded.groupBy("topic", "keyword").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("row_idx", "pos")).alias("first_seen")
+    words = docs.where(F.col("topic") != OUTLIER).select("topic", "row_idx", keyword_array(F.col(column)).alias("_words"))
+    found = words.select("topic", "row_idx", F.inline(keyword_occurrences("_words")))
+    return found.groupBy("topic", "keyword").agg(
+        F.sum("occurrences").alias("n"),
+        F.min("row_idx").alias("first_row"),
+        F.min_by("pos", "row_idx").alias("first_pos"),
     )
 
 
 def keyword_topn(docs: DataFrame, column: str, n: int = TOP_N) -> DataFrame:
     """(topic, rank, keyword, n): most frequent keywords of every topic."""
-    top = top_n_per_group(keyword_counts(docs, column), "topic", [F.col("n").desc(), F.col("first_seen")], n)
+    order = [F.col("n").desc(), F.col("first_row"), F.col("first_pos")]
+    top = top_n_per_group(keyword_counts(docs, column), "topic", order, n)
     return top.select("topic", "rank", "keyword", "n")
 
 

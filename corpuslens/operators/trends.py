@@ -56,7 +56,7 @@ def year_topic_pivot(counts: DataFrame, names: DataFrame, topics: Sequence[int]
 
 
 def keyword_years(docs: DataFrame, column: str = "author_keywords") -> DataFrame:
-    """(topic, keyword, year, occurrences, n, first_seen) from one pass over the documents.
+    """(topic, keyword, year, occurrences, n, first_row, first_pos) from one pass over the documents.
 
     `occurrences` counts every mention, `n` counts documents.
     """
@@ -65,7 +65,8 @@ def keyword_years(docs: DataFrame, column: str = "author_keywords") -> DataFrame
     return rows.groupBy("topic", F.col("k.keyword").alias("keyword"), "year").agg(
         F.sum("k.occurrences").alias("occurrences"),
         F.count(F.lit(1)).alias("n"),
-        F.min(F.struct(F.col("row_idx"), F.col("k.pos").alias("pos"))).alias("first_seen"),
+        F.min("row_idx").alias("first_row"),
+        F.min_by("k.pos", "row_idx").alias("first_pos"),
     )
 
 
@@ -81,9 +82,12 @@ def trend_keywords(years: DataFrame, targets: DataFrame, n: int = TOP_KEYWORDS)
     """
     totals = years.join(targets.select("topic"), "topic", "left_semi")
     totals = totals.groupBy("topic", "keyword").agg(
-        F.sum("occurrences").alias("occurrences"), F.min("first_seen").alias("first_seen")
+        F.sum("occurrences").alias("occurrences"),
+        F.min("first_row").alias("first_row"),
+        F.min_by("first_pos", "first_row").alias("first_pos"),
     )
-    top = top_n_per_group(totals, "topic", [F.col("occurrences").desc(), F.col("first_seen")], n, "kw_rank")
+    order = [F.col("occurrences").desc(), F.col("first_row"), F.col("first_pos")]
+    top = top_n_per_group(totals, "topic", order, n, "kw_rank")
     return top.join(targets, "topic").select("rank", "topic", "keyword", "kw_rank")
 
 
