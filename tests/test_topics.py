@@ -2,9 +2,7 @@ import json
 import math
 
 import numpy as np
-import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from corpuslens import sinks
 from corpuslens.operators import keywords as k
