@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,10 +31,29 @@ def build_session(app: str = "corpuslens", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once for each Spark application, whatever their working directory.
+
+    The archive is built on the driver and served by Spark; executors on the driver's own machine use it as well.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_corpuslens_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="corpuslens-package-"), "corpuslens.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for path in sorted(package.rglob("*.py")):
+            out.write(path, str(path.relative_to(package.parent)))
+    context.addPyFile(archive)
+    context._corpuslens_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; only a session that names none (tests) gets its own."""
+    """The cluster's checkpoint folder; only a single-machine session that names none gets its own."""
     named = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
     if named is None:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError(f"{CHECKPOINT_KEY} must name a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="corpuslens-checkpoint-")
         spark.sparkContext.setCheckpointDir(named)
     elif spark.sparkContext.getCheckpointDir() is None:
