@@ -15,7 +15,10 @@ import numpy as np
 CACHE_ENTRIES = 300_000
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _WORD_OR_SPACE = re.compile(r" ?[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+(?![^\x20\x09-\x0D])|[\x20\x09-\x0D]+")
-_WHOLE = re.compile("<\\||[\x1c-\x1f\x85\xa0 ᠎ -‏ -  -⁯　﻿]")
+#: Ranges of code points that are white space, or nearly, outside ASCII's.
+_OTHER_SPACE = [(0x1C, 0x1F), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x180E, 0x180E), (0x2000, 0x200F),
+                (0x2028, 0x202F), (0x205F, 0x206F), (0x3000, 0x3000), (0xFEFF, 0xFEFF)]
+_WHOLE = re.compile("<\\||[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in _OTHER_SPACE) + "]")
 
 
 class Encoder:
