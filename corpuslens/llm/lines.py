@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslens.llm.tables import documents, query
+from corpuslens.llm.tables import documents, packed_rows, query
 from corpuslens.session import durable, scratch_path
 
 SPACES = r"\x20\x09-\x0D"
@@ -110,43 +110,37 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_
     Lines whose key has `min_chars` code points or more and occurs in at least `min_docs` documents (rows) go from
     every document; the others stay in order, joined by \\n. NULL and empty texts are one empty line, whose key is
     too short to be dropped, and come back as the empty text. Repeated rows count as documents of their own. Other
-    columns stay as they are; an empty table gives an empty table. doc_id may be NULL or repeated: rows are matched
+    columns stay as they are, but for those named n_lines or n_dropped; an empty table gives an empty table. doc_id may be NULL or repeated: rows are matched
     by an internal number, not by id.
     """
     spark = docs.sparkSession
-    columns = [c for c in docs.columns if c != "text"]
+    packed, unpacked = packed_rows(docs, "n_lines", "n_dropped")
     # The stored copy fixes the row numbers; what follows never computes them again.
-    rows = durable(docs.select(
-        F.struct(*(F.col(f"`{c}`") for c in columns)).alias("_rest"), F.coalesce("text", F.lit("")).alias("_text"),
-        F.monotonically_increasing_id().alias("_row"),
-    ))
-    keys = F.transform(lines_of(F.col("_text")), line_key)
+    rows = durable(packed.select("_row", F.coalesce("text", F.lit("")).alias("text"), F.monotonically_increasing_id().alias("_nr")))
+    keys = F.transform(lines_of(F.col("text")), line_key)
     long_enough = F.filter(keys, lambda k: F.char_length(k) >= min_chars)
-    keyed = rows.select("_row", F.pmod(F.xxhash64("_row"), F.lit(BATCHES)).alias("batch"),
+    keyed = rows.select("_nr", F.pmod(F.xxhash64("_nr"), F.lit(BATCHES)).alias("batch"),
                         F.array_distinct(F.transform(long_enough, _hashed)).alias("keys"))
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     runs = known_keys(spark, keyed, buckets)
     frequent = durable(runs.all().where(F.col("n") >= min_docs))
     total = frequent.agg(F.sum("n")).first()[0] or 0
     hot = F.broadcast(frequent.where(F.col("n") >= F.greatest(F.lit(min_docs), F.lit(total * HOT_SHARE))).select("h", "g", F.lit(True).alias("hot")))
-    pairs = keyed.select("_row", F.explode("keys").alias("k")).select("_row", F.col("k.h").alias("h"), F.col("k.g").alias("g"))
+    pairs = keyed.select("_nr", F.explode("keys").alias("k")).select("_nr", F.col("k.h").alias("h"), F.col("k.g").alias("g"))
     marked = pairs.join(hot, ["h", "g"], "left")
     rest = marked.where("hot is null").join(frequent.select("h", "g").hint("merge"), ["h", "g"], "left_semi")
-    found = marked.where("hot").select("_row", "h", "g").unionByName(rest.select("_row", "h", "g"))
-    drops = durable(found.groupBy("_row").agg(F.collect_list(F.struct("h", "g")).alias("_gone")))
+    found = marked.where("hot").select("_nr", "h", "g").unionByName(rest.select("_nr", "h", "g"))
+    drops = durable(found.groupBy("_nr").agg(F.collect_list(F.struct("h", "g")).alias("_gone")))
     runs.forget()
-    lines = lines_of(F.col("_text"))
+    lines = lines_of(F.col("text"))
     kept = F.filter(lines, lambda x: (F.char_length(line_key(x)) < min_chars) | ~F.array_contains(F.col("_gone"), _hashed(line_key(x))))
     touched = F.col("_gone").isNotNull()
-    out = rows.join(drops, "_row", "left").select(
-        "_rest", "_text", F.size(lines).cast("long").alias("_n"), F.when(touched, kept).alias("_kept")
-    )
-    return out.select(
-        *(F.col("_rest")[c].alias(c) for c in columns),
-        F.when(F.col("_kept").isNull(), F.col("_text")).otherwise(F.array_join("_kept", "\n")).alias("text"),
-        F.col("_n").alias("n_lines"),
-        F.when(F.col("_kept").isNull(), F.lit(0)).otherwise(F.col("_n") - F.size("_kept")).cast("long").alias("n_dropped"),
-    )
+    out = rows.join(drops, "_nr", "left").select("_row", "text", F.size(lines).cast("long").alias("n_lines"), F.when(touched, kept).alias("_kept"))
+    return unpacked(out.select(
+        "_row", "n_lines",
+        F.when(F.col("_kept").isNull(), F.col("text")).otherwise(F.array_join("_kept", "\n")).alias("text"),
+        F.when(F.col("_kept").isNull(), F.lit(0)).otherwise(F.col("n_lines") - F.size("_kept")).cast("long").alias("n_dropped"),
+    ))
 
 
 OP3_SQL = """

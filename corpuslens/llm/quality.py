@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslens.llm.tables import documents, query
+from corpuslens.llm.tables import documents, id_and_text, query
 from corpuslens.llm.words import SPACE, Words, slices, text_buffers, window_hashes
 from corpuslens.session import durable
 
@@ -222,7 +222,7 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     fail the base rule. NULL lang or source form the group of the empty name. Repeated rows are judged each; a
     group too small to vary is judged by the floor on the spread. An empty table gives an empty table.
     """
-    known = docs.select("doc_id", "text", *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")))
+    known = id_and_text(docs, "lang", "source").select("doc_id", "text", *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")))
     stats = durable(text_statistics(known))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     rows = _features(stats).withColumn("base_failed", failed)

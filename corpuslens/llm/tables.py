@@ -26,6 +26,31 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def exact(table: DataFrame, *names: str) -> DataFrame:
+    """The first column of exactly each name; columns whose names differ in case or repeat stay out of the way."""
+    there = table.columns
+    plain = table.toDF(*(f"_{k}" for k in range(len(there))))
+    return plain.select(*(F.col(f"_{there.index(n)}").alias(n) for n in names))
+
+
 def id_and_text(docs: DataFrame, *more: str) -> DataFrame:
-    """The columns an operator works on, by exact name; whatever else a table holds stays out of the way."""
-    return docs.select(*(F.col(f"`{c}`") for c in ("doc_id", "text", *more)))
+    """The columns an operator works on."""
+    return exact(docs, "doc_id", "text", *more)
+
+
+def packed_rows(docs: DataFrame, *made: str) -> tuple[DataFrame, Callable[..., DataFrame]]:
+    """(`_row`, `text`) with all columns in the struct `_row`, and the way back.
+
+    The way back, given a table with `_row`, `text` and the columns `made`, returns the columns of `docs` in their
+    order, with the new text, and the made columns; made ones replace columns of `docs` of the same name.
+    """
+    names = docs.columns
+    at = names.index("text")
+    plain = docs.toDF(*(f"_{k}" for k in range(len(names))))
+    rows = plain.select(F.struct(*(f"_{k}" for k in range(len(names)))).alias("_row"), F.col(f"_{at}").alias("text"))
+
+    def unpacked(table: DataFrame) -> DataFrame:
+        kept = [F.col("text") if k == at else F.col("_row")[f"_{k}"].alias(n) for k, n in enumerate(names) if n not in made]
+        return table.select(*kept, *made)
+
+    return rows, unpacked
