@@ -1,6 +1,6 @@
 """Imports the modules that register a query; `QUERIES` and `SQL` hold all of them."""
 
-from corpuslens.llm import binary, language_model, lines, minhash, nearest, packing, pii, quality  # noqa: F401
+from corpuslens.llm import binary, language_model, lines, minhash, nearest, packing, passages, pii, quality  # noqa: F401
 from corpuslens.llm.tables import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
