@@ -140,7 +140,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
             if batch.column("doc_id").null_count:
                 raise ValueError("doc_id is NULL")
             numbers = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
-            for i, j in slices(text_buffers(texts)[1]):
+            for i, j in slices(text_buffers(texts)[1], 1_000_000):
                 ids, at = encode_texts(texts.slice(i, j - i).to_pylist())
                 full = np.full(len(ids) + j - i, end_id, np.uint32)
                 full[np.arange(len(ids)) + np.repeat(np.arange(j - i), np.diff(at))] = ids

@@ -110,17 +110,17 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_
     Lines whose key has `min_chars` code points or more and occurs in at least `min_docs` documents (rows) go from
     every document; the others stay in order, joined by \\n. NULL and empty texts are one empty line, whose key is
     too short to be dropped, and come back as the empty text. Repeated rows count as documents of their own. Other
-    columns stay as they are, but for those named n_lines or n_dropped; an empty table gives an empty table. doc_id may be NULL or repeated: rows are matched
-    by an internal number, not by id.
+    columns stay as they are, but for those named n_lines or n_dropped; an empty table gives an empty table. doc_id is
+    not looked at and may be NULL or repeated.
     """
     spark = docs.sparkSession
     packed, unpacked = packed_rows(docs, "n_lines", "n_dropped")
-    # The stored copy fixes the row numbers; what follows never computes them again.
-    rows = durable(packed.select("_row", F.coalesce("text", F.lit("")).alias("text"), F.monotonically_increasing_id().alias("_nr")))
+    # What a document loses depends on its text alone, so equal texts may share a number.
+    rows = packed.select("_row", F.coalesce("text", F.lit("")).alias("text")).withColumn("_nr", F.md5("text"))
     keys = F.transform(lines_of(F.col("text")), line_key)
     long_enough = F.filter(keys, lambda k: F.char_length(k) >= min_chars)
-    keyed = rows.select("_nr", F.pmod(F.xxhash64("_nr"), F.lit(BATCHES)).alias("batch"),
-                        F.array_distinct(F.transform(long_enough, _hashed)).alias("keys"))
+    keyed = durable(rows.select("_nr", F.pmod(F.xxhash64("_nr"), F.lit(BATCHES)).alias("batch"),
+                                F.array_distinct(F.transform(long_enough, _hashed)).alias("keys")))
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     runs = known_keys(spark, keyed, buckets)
     frequent = durable(runs.all().where(F.col("n") >= min_docs))
@@ -130,7 +130,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_
     marked = pairs.join(hot, ["h", "g"], "left")
     rest = marked.where("hot is null").join(frequent.select("h", "g").hint("merge"), ["h", "g"], "left_semi")
     found = marked.where("hot").select("_nr", "h", "g").unionByName(rest.select("_nr", "h", "g"))
-    drops = durable(found.groupBy("_nr").agg(F.collect_list(F.struct("h", "g")).alias("_gone")))
+    drops = durable(found.groupBy("_nr").agg(F.collect_set(F.struct("h", "g")).alias("_gone")))
     runs.forget()
     lines = lines_of(F.col("text"))
     kept = F.filter(lines, lambda x: (F.char_length(line_key(x)) < min_chars) | ~F.array_contains(F.col("_gone"), _hashed(line_key(x))))

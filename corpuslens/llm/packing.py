@@ -27,7 +27,7 @@ def cut_documents(docs: DataFrame, tokenizer: str, capacity: int = SEQUENCE, end
         encode = encoder(tokenizer, keep_space=False).encode
         for batch in batches:
             texts = batch.column("text").fill_null("")
-            for i, j in slices(text_buffers(texts)[1]):
+            for i, j in slices(text_buffers(texts)[1], 1_000_000):
                 ids, at = encode(texts.slice(i, j - i).to_pylist())
                 rows = j - i
                 # Every document's ids, then its end.

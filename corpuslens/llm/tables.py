@@ -39,7 +39,7 @@ def id_and_text(docs: DataFrame, *more: str) -> DataFrame:
 
 
 def packed_rows(docs: DataFrame, *made: str) -> tuple[DataFrame, Callable[..., DataFrame]]:
-    """(`_row`, `text`) with all columns in the struct `_row`, and the way back.
+    """(`_row`, `text`) with all other columns in the struct `_row`, and the way back.
 
     The way back, given a table with `_row`, `text` and the columns `made`, returns the columns of `docs` in their
     order, with the new text, and the made columns; made ones replace columns of `docs` of the same name.
@@ -47,7 +47,8 @@ def packed_rows(docs: DataFrame, *made: str) -> tuple[DataFrame, Callable[..., D
     names = docs.columns
     at = names.index("text")
     plain = docs.toDF(*(f"_{k}" for k in range(len(names))))
-    rows = plain.select(F.struct(*(f"_{k}" for k in range(len(names)))).alias("_row"), F.col(f"_{at}").alias("text"))
+    others = [F.col(f"_{k}") for k in range(len(names)) if k != at] or [F.lit(0).alias("_none")]
+    rows = plain.select(F.struct(*others).alias("_row"), F.col(f"_{at}").alias("text"))
 
     def unpacked(table: DataFrame) -> DataFrame:
         kept = [F.col("text") if k == at else F.col("_row")[f"_{k}"].alias(n) for k, n in enumerate(names) if n not in made]

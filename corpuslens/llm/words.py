@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 SHINGLE_WORDS = 5
 
 SPACE = np.zeros(256, bool)
