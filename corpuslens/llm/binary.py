@@ -97,7 +97,7 @@ def _layout(image: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
 def read_blocks(image: bytes, first: int = 0, last: int | None = None) -> np.ndarray:
     """The ids of blocks first..last-1, found by the index; the others are not touched."""
     _, _, starts, origin = _layout(image)
-    last = len(starts) - 1 if last is None else last
+    last = len(starts) - 1 if last is None else min(last, len(starts) - 1)
     data = np.frombuffer(image, np.uint8)
     at = starts[first:last].astype(np.int64) + origin
     if not len(at):

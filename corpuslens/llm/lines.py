@@ -14,7 +14,7 @@ from corpuslens.session import durable, scratch_path
 SPACES = r"\x20\x09-\x0D"
 MIN_CHARS = 1
 MIN_DOCS = 10
-BATCHES = 4
+BATCHES = 2
 FANOUT = 2
 #: Keys with at least this share of all (document, key) pairs; by that there are at most its reciprocal of them.
 HOT_SHARE = 1 / 1000

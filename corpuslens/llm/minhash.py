@@ -20,6 +20,7 @@ REGISTERS = BANDS * ROWS
 #: Weight levels 0, 1, 2, 4, ...: a process lives on each interval between neighbours.
 MAX_LEVEL = 40
 _UNIT = 2.0**-53
+_LEVEL_SEEDS = np.random.default_rng(2018).integers(1, 2**63, MAX_LEVEL, dtype=np.uint64)
 
 
 def _uniform(seed: np.ndarray) -> np.ndarray:
@@ -36,7 +37,7 @@ def _intervals(value: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, ...]:
             break
         length = 1 if level == 0 else low
         below = np.minimum(weight[some] - low, length)
-        parts.append((some, mix(value[some] + np.uint64(level) * np.uint64(0xA0761D6478BD642F)), np.full(len(some), length, np.int64), below))
+        parts.append((some, mix(value[some] + _LEVEL_SEEDS[level]), np.full(len(some), length, np.int64), below))
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 

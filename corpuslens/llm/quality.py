@@ -34,6 +34,8 @@ BINS_PER_OCTAVE = 16
 TAIL = 1e-7
 #: Standard deviation that every transformed statistic has at least; it also keeps constant statistics regular.
 FLOOR = 0.08
+#: What is believed of the spread before rows are seen, worth PRIOR_ROWS rows: a few documents are no norm.
+PRIOR, PRIOR_ROWS = 0.3, 4
 
 FEATURES = ["x_length", "x_symbol", "x_punct", "x_upper", "x_stutter"]
 P = len(FEATURES)
@@ -161,7 +163,7 @@ def _core_of_bins(key: tuple, bins: pd.DataFrame) -> pd.DataFrame:
         for b in range(a + 1):
             cov[a, b] = cov[b, a] = rows[at] / n - mean[a] * mean[b]
             at += 1
-    cov = cov + np.eye(P) * FLOOR**2
+    cov = cov + np.eye(P) * (FLOOR**2 + PRIOR**2 * PRIOR_ROWS / (PRIOR_ROWS + reach[-1]))
     median = 2.0 ** (bins["bin"].to_numpy()[half] / BINS_PER_OCTAVE)
     return pd.DataFrame({
         "lang": [key[0]], "source": [key[1]], "way": [key[2]], "centre": [mean.tolist()],
@@ -220,7 +222,7 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 
     `docs` needs doc_id, text, lang and source; other columns are ignored. NULL and empty texts have no words and
     fail the base rule. NULL lang or source form the group of the empty name. Repeated rows are judged each; a
-    group too small to vary is judged by the floor on the spread. An empty table gives an empty table.
+    group too small to vary is judged by the floor and the prior on the spread. An empty table gives an empty table.
     """
     known = id_and_text(docs, "lang", "source").select("doc_id", "text", *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")))
     stats = durable(text_statistics(known))
