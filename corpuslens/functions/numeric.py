@@ -43,3 +43,9 @@ def dot(a: Column, b: Column) -> Column:
 
 def norm(a: Column) -> Column:
     return F.sqrt(array_total(F.transform(a, lambda x: x * x)))
+
+
+def plain_double(x: Column) -> Column:
+    """A number in decimal notation as DOUBLE, else NULL; a plain cast also takes suffixes such as 12d and 7f."""
+    text = F.trim(x.cast("string"))
+    return F.when(text.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"), text.try_cast("double"))

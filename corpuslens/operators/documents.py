@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpuslens.functions import text as tx
+from corpuslens.functions.numeric import plain_double
 from corpuslens.session import small_side
 
 _MAX_INT = 2147483647
@@ -44,7 +45,7 @@ def valid_years(docs: DataFrame, *, require_rows: bool = True) -> DataFrame:
     if isinstance(docs.schema["year"].dataType, (T.IntegerType, T.ShortType, T.ByteType)):
         kept = docs.where(F.col("year") > 0)
     else:
-        number = F.col("year").try_cast("double")
+        number = plain_double(F.col("year"))
         kept = docs.withColumn(
             "year", F.when((number >= 1) & (number <= _MAX_INT), number.cast("int"))
         ).where(F.col("year").isNotNull())

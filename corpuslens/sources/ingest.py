@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpuslens.functions.numeric import plain_double
 from corpuslens.functions.text import blank_to_null
 
 # Largest double below 2^63; larger ids are treated as non-numeric.
@@ -50,7 +51,7 @@ def map_columns(df: DataFrame, columns: Mapping[str, str] | None = None) -> Data
 def numeric_id(raw: Column) -> Column:
     """The id as BIGINT (decimals truncated), NULL if it is not a number."""
     trimmed = F.trim(raw)
-    as_double = trimmed.try_cast("double")
+    as_double = plain_double(trimmed)
     in_range = as_double.isNotNull() & ~F.isnan(as_double) & (F.abs(as_double) < _MAX_ID)
     return F.when(trimmed.rlike(r"^[+-]?\d{1,18}$"), trimmed.try_cast("long")).otherwise(
         F.when(in_range, as_double.cast("long"))
