@@ -12,13 +12,18 @@ import re
 
 import numpy as np
 
-CACHE_ENTRIES = 150_000
+CACHE_ENTRIES = 500_000
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _WORD_OR_SPACE = re.compile(r" ?[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+(?![^\x20\x09-\x0D])|[\x20\x09-\x0D]+")
-#: The vocabularies' own splits, for texts that are all ASCII; there they are exact and leave fewer different stretches.
-_ASCII_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\x20\x09-\x0Da-z0-9]+")
-_ASCII_SPACED = re.compile(
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\x20\x09-\x0DA-Za-z0-9]+|[\x20\x09-\x0D]+(?![^\x20\x09-\x0D])|[\x20\x09-\x0D]+")
+#: Latin letters that lower-casing and composition leave in this range.
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f"
+#: Texts of these letters, ASCII and signs that are neither letters nor numbers: the vocabularies' own splits are exact
+#: there and leave fewer different stretches.
+_LATIN = re.compile(f"[\x00-\x7f{_LETTERS}\u00a1\u00a7\u00ab\u00b0\u00bb\u00bf\u2010-\u2027\u2030-\u205e]*")
+_LATIN_WORD = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\x20\x09-\x0D0-9{_LETTERS}]+")
+_LATIN_SPACED = re.compile(
+    rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^\x20\x09-\x0D0-9{_LETTERS}]+"
+    r"|[\x20\x09-\x0D]+(?![^\x20\x09-\x0D])|[\x20\x09-\x0D]+")
 #: Ranges of code points that are white space, or nearly, outside ASCII's.
 _OTHER_SPACE = [(0x1C, 0x1F), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x180E, 0x180E), (0x2000, 0x200F),
                 (0x2028, 0x202F), (0x205F, 0x206F), (0x3000, 0x3000), (0xFEFF, 0xFEFF)]
@@ -63,9 +68,10 @@ class Encoder:
     def _split(self, text: str) -> list[str]:
         if _WHOLE.search(text):
             return [text]
+        latin = text.isascii() or _LATIN.fullmatch(text)
         if self._keep_space:
-            return (_ASCII_SPACED if text.isascii() else _WORD_OR_SPACE).findall(text)
-        return _ASCII_WORD.findall(text.lower()) if text.isascii() else _WORD.findall(text)
+            return (_LATIN_SPACED if latin else _WORD_OR_SPACE).findall(text)
+        return _LATIN_WORD.findall(text.lower()) if latin else _WORD.findall(text)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, where each text begins and the end)."""
