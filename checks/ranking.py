@@ -84,6 +84,17 @@ def rank_groups_k(spark, sf):
     return rk.assign_tiers(ranked(spark, sf), "abcd").select("run_id", "topic", "rank", "tier_no", "tier")
 
 
+@check("rank_groups_weighted", with_sql("""SELECT run_id, topic, rank, CAST((CASE WHEN rank > end1 THEN 1 ELSE 0 END) + (CASE WHEN rank > end2 THEN 1 ELSE 0 END)
+  + (CASE WHEN rank > end3 THEN 1 ELSE 0 END) AS INT) AS tier_no
+  FROM (SELECT *, greatest(end2 + 1, least(n - 1, CAST(round(n * 0.875) AS BIGINT))) AS end3
+  FROM (SELECT *, greatest(end1 + 1, least(n - 2, CAST(round(n * 0.75) AS BIGINT))) AS end2
+  FROM (SELECT *, greatest(1, least(n - 3, CAST(round(n * 0.5) AS BIGINT))) AS end1
+  FROM (SELECT *, count(*) OVER (PARTITION BY run_id) AS n FROM ranked))))""", **RANKING))
+def rank_groups_weighted(spark, sf):
+    tiered = rk.assign_tiers(ranked(spark, sf), "abcd", [4, 2, 1, 1])
+    return tiered.select("run_id", "topic", "rank", "tier_no")
+
+
 @check("relevance_table", with_sql("""SELECT r.run_id, r.topic, r.rank, r.doc_count, '문서수 순' AS rationale,
   CASE WHEN r.topic <> 5 THEN t.tier_no END AS tier_no, CASE WHEN r.topic <> 5 THEN (ARRAY['직접 관련', '간접 관련', '낮은 관련도'])[t.tier_no + 1] END AS tier
   FROM ranked r LEFT JOIN (

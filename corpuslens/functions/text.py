@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -58,12 +59,23 @@ def keyword_occurrences(words: str) -> Column:
     )
 
 
-def tokens(text: Column, stop_words: Sequence[str] | None = None) -> Column:
+def stop_word_list(stop_words: Sequence[str] | str | None) -> list[str]:
+    """The words of a setting: "english" is Spark's own list, None is no word, anything else is the words themselves."""
+    if stop_words is None:
+        return []
+    if isinstance(stop_words, str):
+        if stop_words != "english":
+            raise ValueError(f'stop words: "english", None or a list of words, not {stop_words!r}')
+        return StopWordsRemover.loadDefaultStopWords("english")
+    return list(stop_words)
+
+
+def tokens(text: Column, stop_words: Sequence[str] | str | None = None) -> Column:
     """Lower-case runs of two or more word characters, stop words removed."""
     found = F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
-    if not stop_words:
+    words = stop_word_list(stop_words)
+    if not words:
         return found
-    words = list(stop_words)
     return F.filter(found, lambda t: ~t.isin(words))
 
 

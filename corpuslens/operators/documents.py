@@ -54,7 +54,7 @@ def valid_years(docs: DataFrame, *, require_rows: bool = True) -> DataFrame:
     return kept
 
 
-def document_tokens(docs: DataFrame, text: str = "abstract", stop_words: Sequence[str] | None = None) -> DataFrame:
+def document_tokens(docs: DataFrame, text: str = "abstract", stop_words: Sequence[str] | str | None = None) -> DataFrame:
     """(doc_id, pos, term): one row per token in reading order."""
     return docs.select("doc_id", F.posexplode(tx.tokens(F.col(text), stop_words)).alias("pos", "term"))
 
@@ -62,7 +62,7 @@ def document_tokens(docs: DataFrame, text: str = "abstract", stop_words: Sequenc
 def document_ngrams(
     docs: DataFrame,
     text: str = "abstract",
-    stop_words: Sequence[str] | None = None,
+    stop_words: Sequence[str] | str | None = None,
     smallest: int = 1,
     largest: int = 3,
 ) -> DataFrame:

@@ -25,7 +25,7 @@ HOT_TERMS = 10_000
 def term_counts(
     docs: DataFrame,
     text: str = "abstract",
-    stop_words: Sequence[str] | None = None,
+    stop_words: Sequence[str] | str | None = None,
     ngrams: tuple[int, int] = (1, 1),
 ) -> DataFrame:
     """(topic, term, tf): the tokens are counted on the map side before anything is shuffled."""
@@ -71,7 +71,7 @@ def reassign_outliers(
     docs: DataFrame,
     weights: DataFrame,
     text: str = "abstract",
-    stop_words: Sequence[str] | None = None,
+    stop_words: Sequence[str] | str | None = None,
     salts: int = 64,
     lookup_terms: int = BROADCAST_ROWS,
 ) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from corpuslens.operators import density, documents, keywords, labels, quality, ranking, report, trends, vectors, weights
 from corpuslens.session import durable
-from corpuslens.sinks import write_table
+from corpuslens.sinks import resolve_run_id, write_table
 
 
 @dataclass(frozen=True)
@@ -18,7 +18,7 @@ class Settings:
     """Parameters of an analysis, with the usual defaults."""
 
     clean: bool = False
-    stop_words: Sequence[str] | None = None
+    stop_words: Sequence[str] | str | None = "english"
     dims: int = 2
     vector_dim: int = 16
     min_topic_size: int | None = None
@@ -101,5 +101,9 @@ def analyze(docs: DataFrame, embeddings: DataFrame | None = None, settings: Sett
 
 
 def save(tables: dict[str, DataFrame], base: str, run_id: str) -> dict[str, str]:
-    """Write every table of a run below `base`; returns their paths."""
+    """Write every table of a run below `base`; returns their paths.
+
+    The run id 'auto' is replaced once, so that all tables of the run share one folder.
+    """
+    run_id = resolve_run_id(run_id)
     return {name: write_table(df, base, run_id, name) for name, df in tables.items()}

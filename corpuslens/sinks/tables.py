@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def resolve_run_id(run_id: str) -> str:
+    """'auto' gives the current time; resolve it once for all tables of a run."""
+    return datetime.now(timezone.utc).strftime("%Y%m%d-%H%M%S") if run_id == "auto" else run_id
+
+
 def run_path(base: str, run_id: str) -> str:
     """Folder of one run; run id 'auto' stands for the current time."""
-    if run_id == "auto":
-        run_id = datetime.now(timezone.utc).strftime("%Y%m%d-%H%M%S")
-    return f"{base.rstrip('/')}/run_id={run_id}"
+    return f"{base.rstrip('/')}/run_id={resolve_run_id(run_id)}"
 
 
 def write_table(df: DataFrame, base: str, run_id: str, table: str, partition_by: list[str] | None = None) -> str:

@@ -63,3 +63,13 @@ def test_keywords_joined_late(spark):
     joined = d.with_author_keywords(docs, keywords)
     assert {r.doc_id: r.author_keywords for r in joined.collect()} == {1: "a; b", 2: None}
     assert d.with_author_keywords(joined, None) is joined
+
+
+def test_stop_word_settings(spark):
+    df = spark.createDataFrame([("The tide and the moon",)], "text string")
+    words = lambda stop: df.select(tx.tokens(F.col("text"), stop)).first()[0]
+    assert words("english") == ["tide", "moon"]
+    assert words(None) == ["the", "tide", "and", "the", "moon"]
+    assert words(["moon"]) == ["the", "tide", "and", "the"]
+    with pytest.raises(ValueError, match="german"):
+        words("german")

@@ -26,12 +26,12 @@ COMPARISON = "topic int, doc_count long, c_tf_idf string, keybert string, author
 
 def test_keyword_labels(spark):
     df = spark.createDataFrame([
-        (0, 5, "protein; collagen; peptide; gel", "x", "", ""), (1, 4, " ", "kb one; kb two", "", ""), (2, 3, "", None, "", ""), (3, 1, "nan", "", "", ""),
+        (0, 5, "glacier; moraine; firn; scree", "x", "", ""), (1, 4, " ", "lantern; wick", "", ""), (2, 3, "", None, "", ""), (3, 1, "nan", "", "", ""),
     ], COMPARISON)
     got = {x.topic: x for x in lb.keyword_labels(df).collect()}
-    assert got[0].label_en == got[0].label_kr == "protein, collagen, peptide"
-    assert got[0].description == "주요 키워드: protein, collagen, peptide, gel"
-    assert got[1].label_en == "kb one, kb two"
+    assert got[0].label_en == got[0].label_kr == "glacier, moraine, firn"
+    assert got[0].description == "주요 키워드: glacier, moraine, firn, scree"
+    assert got[1].label_en == "lantern, wick"
     assert (got[2].label_en, got[2].description) == ("Topic 2", "") and got[3].label_en == "Topic 3"
 
 
@@ -122,6 +122,8 @@ def test_tables_by_run(spark, tmp_path):
     sinks.write_table(empty, base, "one", "trend_stats")
     assert sinks.read_table(spark, base, "one", "trend_stats", TREND_SCHEMA).isEmpty()
     assert "run_id=20" in sinks.run_path(base, "auto")
+    paths = save({"a": df, "b": df}, base, "auto")
+    assert len({p.rsplit("/", 1)[0] for p in paths.values()}) == 1
     sinks.export_csv(df.coalesce(1), f"{base}/csv", bom=True)
     text = "".join(p.read_text("utf-8") for p in (tmp_path / "csv").glob("*.csv"))
     assert text == "﻿id,k,t\n1,a; b,\"x\ny\"\n"
