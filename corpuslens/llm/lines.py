@@ -38,10 +38,11 @@ def _hashed(key: Column) -> Column:
 
 @dataclass
 class SortedRuns:
-    """Runs of (h, g, n): key hashes with the number of documents seen, bucketed and sorted by h on shared storage.
+    """Runs of (h, g, n): key hashes with the number of documents seen, bucketed and sorted by both hashes on shared storage.
 
     Level 0 holds one run for each batch; FANOUT runs of a level are merged into one of the next, so a key is
-    rewritten once per level and a lookup joins few runs. Buckets are merged where they are, without a shuffle.
+    rewritten once per level and a lookup joins few runs. Buckets are merged where they are, without a shuffle: joins
+    use all columns that the buckets are made by, and each task writes one file.
     """
 
     spark: SparkSession
@@ -52,7 +53,7 @@ class SortedRuns:
     def _store(self, counts: DataFrame) -> DataFrame:
         name = f"line_run_{uuid.uuid4().hex}"
         (
-            counts.select("h", "g", "n").write.bucketBy(self.buckets, "h").sortBy("h", "g")
+            counts.select("h", "g", "n").write.bucketBy(self.buckets, "h", "g").sortBy("h", "g")
             .option("path", scratch_path(self.spark, name)).saveAsTable(name)
         )
         self.tables.append(name)
@@ -60,7 +61,7 @@ class SortedRuns:
 
     def add(self, counts: DataFrame) -> None:
         level = 0
-        self.levels[0].append(self._store(counts.repartition(self.buckets, "h")))
+        self.levels[0].append(self._store(counts.repartition(self.buckets, "h", "g")))
         while len(self.levels[level]) >= FANOUT:
             merged = self._merge(self.levels[level])
             self.levels[level] = []
