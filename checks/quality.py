@@ -61,20 +61,22 @@ def topic_metrics(spark, sf):
     return rows.withColumns({c: F.round(c, 6) for c in ("imbalance", "outlier_ratio")})
 
 
-@check("silhouette", """WITH v AS (SELECT vec_id AS i, label AS topic, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+SILHOUETTE = """WITH v AS (SELECT vec_id AS i, label AS topic, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
   sizes AS (SELECT topic, count(*) AS n FROM v GROUP BY topic),
-  sums AS (SELECT a.i, a.topic, b.topic AS other, sum(list_distance(a.x, b.x)) AS s FROM v a CROSS JOIN v b GROUP BY a.i, a.topic, b.topic),
+  sums AS (SELECT a.i, a.topic, b.topic AS other, sum({distance}) AS s FROM v a CROSS JOIN v b GROUP BY a.i, a.topic, b.topic),
   ab AS (SELECT i, max(CASE WHEN s.topic = other THEN s / (n - 1) END) AS a, min(CASE WHEN s.topic <> other THEN s / n END) AS b
     FROM sums s JOIN sizes z ON z.topic = s.other GROUP BY i)
-  SELECT round(avg((b - a) / greatest(a, b)), 6) AS silhouette FROM ab""")
+  SELECT round(avg((b - a) / greatest(a, b)), 6) AS silhouette FROM ab"""
+
+
+@check("silhouette", SILHOUETTE.format(distance="list_distance(a.x, b.x)"))
 def silhouette(spark, sf):
     return q.silhouette(vectors(spark, sf)).withColumn("silhouette", F.round("silhouette", 6))
 
 
-@check("silhouette_squared")
+@check("silhouette_squared", SILHOUETTE.format(distance="pow(list_distance(a.x, b.x), 2)"))
 def silhouette_squared(spark, sf):
-    value = q.silhouette_squared(vectors(spark, sf))
-    return spark.range(1).select(F.round(F.lit(value), 6).alias("silhouette_squared"))
+    return q.silhouette_squared(vectors(spark, sf)).withColumn("silhouette", F.round("silhouette", 6))
 
 
 @check("sweep_grid", f"SELECT * FROM ({GRID})")
