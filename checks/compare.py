@@ -38,12 +38,14 @@ def _canonical(df: pd.DataFrame) -> list[tuple]:
     return sorted(tuple(cell(v) for v in row) for row in df.astype(object).itertuples(index=False, name=None))
 
 
-def differences(spark: SparkSession, con: duckdb.DuckDBPyConnection, name: str, sf: str) -> list[str]:
+def differences(
+    spark: SparkSession, con: duckdb.DuckDBPyConnection, name: str, sf: str, queries: dict = QUERIES, sql: dict = SQL
+) -> list[str]:
     """What differs between both engines; empty if nothing does."""
-    mine = QUERIES[name](spark, sf).toArrow()
-    if name not in SQL:
+    mine = queries[name](spark, sf).toArrow()
+    if name not in sql:
         return [] if mine.num_rows >= 0 else ["no rows"]
-    theirs = con.sql(SQL[name]).to_arrow_table()
+    theirs = con.sql(sql[name]).to_arrow_table()
     found = []
     types = lambda t: {f.name: str(f.type).replace("large_", "") for f in t.schema}
     if types(mine) != types(theirs):

@@ -17,7 +17,7 @@ def duck():
 
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_equals_sql(spark, duck, name):
-    found = differences(spark, duck, name, SF)
+    found = differences(spark, duck, name, SF, entry.queries(), entry.oracle_sql())
     if name in EMPTY_AT_THIS_SIZE:
         found = [f for f in found if f != "both empty"]
     assert not found
