@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,3 +41,43 @@ def components(links: DataFrame) -> DataFrame:
         both = first.join(hung.withColumnRenamed("id", "b"), "b", "left").select("a", F.coalesce("root", "b").alias("b"))
         live = durable(both.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
+
+
+def led_links(members: DataFrame, verified: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """(links, groups): the links (a, b, ...) that `verified` finds among pairs (a, b) of `members` (band, doc_id), and
+    `components` of them.
+
+    Documents of a band are candidates, and a band may hold very many. Each is compared with the band's leader (its
+    smallest id). What a band still holds of different groups is compared with 1, 2, 4, ... further leaders a round,
+    until every document that is not in the group of the first leader has been leader. So the pairs made follow the
+    members plus the failed comparisons, and no candidate pair of different groups is left out.
+    """
+    bands = durable(members)
+    shared = durable(bands.groupBy("band").agg(F.min("doc_id").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "leader"))
+    members = durable(bands.join(shared, "band"))
+    pairs = durable(members.where("doc_id <> leader").select(F.col("leader").alias("a"), F.col("doc_id").alias("b")).distinct())
+    links = durable(verified(pairs))
+    tested = pairs
+    groups = components(links.select("a", "b"))
+    lanes = 1
+    led = shared.select("band", F.col("leader").alias("doc_id"))
+    while True:
+        named = durable(members.join(groups.withColumnRenamed("id", "doc_id"), "doc_id", "left")
+                        .select("band", "doc_id", "leader", F.coalesce("root", "doc_id").alias("root")))
+        of_leader = groups.select(F.col("id").alias("leader"), F.col("root").alias("leader_root"))
+        apart = durable(named.join(of_leader, "leader", "left").where(F.col("root") != F.coalesce("leader_root", "leader")).select("band", "doc_id", "root"))
+        left = durable(apart.join(led, ["band", "doc_id"], "left_anti"))
+        if left.isEmpty():
+            return links, groups
+        lane = F.pmod(F.xxhash64("doc_id", "band"), F.lit(lanes))
+        heads = durable(left.groupBy("band", lane.alias("lane")).agg(F.min(F.struct("doc_id", "root")).alias("h")).select("band", F.col("h.doc_id").alias("head"), F.col("h.root").alias("head_root")))
+        led = durable(led.unionByName(heads.select("band", F.col("head").alias("doc_id"))))
+        met = named.join(heads, "band").where("root <> head_root")
+        pairs = durable(met.select(F.least("head", "doc_id").alias("a"), F.greatest("head", "doc_id").alias("b")).distinct())
+        pairs = durable(pairs.join(tested, ["a", "b"], "left_anti"))
+        tested = durable(tested.unionByName(pairs))
+        more = durable(verified(pairs))
+        if not more.isEmpty():
+            links = durable(links.unionByName(more))
+            groups = components(links.select("a", "b"))
+        lanes *= 2
