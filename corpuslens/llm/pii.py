@@ -21,23 +21,26 @@ IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){12,18}+(?![\x20-]?[0-9])"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 
-#: Generators of further candidates: they would rather propose too much.
+_GROUPS = r"[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6}"
+#: Generators of further candidates: they would rather propose too much. With each, the marks of which a text with a
+#: match holds one at least; looking for them is much cheaper.
 WIDE = {
     "email": [
-        r"(?<![\w.%+-])[\w.%+-]{1,64}+\x20?[\[({]\x20?(?:at|AT)\x20?[\])}]\x20?[\w-]{1,63}+(?:(?:\.|\x20?[\[({]\x20?(?:dot|DOT)\x20?[\])}]\x20?)[\w-]{1,63}+){1,5}",
-        r"(?<![\w.%+-])[\w.%+-]{1,64}+\x20at\x20[\w-]{1,63}+(?:\x20dot\x20[\w-]{1,63}+){1,4}",
+        (r"(?<![\w.%+-])[\w.%+-]{1,64}+\x20?[\[({]\x20?(?:at|AT)\x20?[\])}]\x20?[\w-]{1,63}+(?:(?:\.|\x20?[\[({]\x20?(?:dot|DOT)\x20?[\])}]\x20?)[\w-]{1,63}+){1,5}", ["at", "AT"]),
+        (r"(?<![\w.%+-])[\w.%+-]{1,64}+\x20at\x20[\w-]{1,63}+(?:\x20dot\x20[\w-]{1,63}+){1,4}", [" at "]),
     ],
     "ip": [
-        r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){3,7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])",
-        r"(?<![0-9])[0-9]{1,3}(?:\[\.\][0-9]{1,3}){3}(?![0-9])",
+        (r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){3,7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])", [":"]),
+        (rf"(?<![0-9A-Za-z:])(?:{_GROUPS}::(?:{_GROUPS})?|::{_GROUPS})(?![0-9A-Za-z:])", ["::"]),
+        (r"(?<![0-9])[0-9]{1,3}(?:\[\.\][0-9]{1,3}){3}(?![0-9])", ["[.]"]),
     ],
-    "card": [r"(?<![0-9./_])[0-9]{4}(?:[./_][0-9]{4}){2}[./_][0-9]{1,7}(?![0-9./_])"],
+    "card": [(r"(?<![0-9./_])[0-9]{4}(?:[./_][0-9]{4}){2}[./_][0-9]{1,7}(?![0-9./_])", [".", "/", "_"])],
     "phone": [
-        r"(?<![0-9A-Za-z+./-])\(?[0-9]{2,5}\)?[-./\x20]{0,2}[0-9]{2,4}[-./\x20][0-9]{2,4}(?:[-./\x20][0-9]{2,4}){0,3}(?![0-9A-Za-z./-])",
+        (r"(?<![0-9A-Za-z+./-])\(?[0-9]{2,5}\)?[-./\x20]{0,2}[0-9]{2,4}[-./\x20][0-9]{2,4}(?:[-./\x20][0-9]{2,4}){0,3}(?![0-9A-Za-z./-])", ["-", ".", "/", " "]),
     ],
 }
-#: A text without all of these marks can have no match; looking for them is much cheaper.
-MARKS = {"email": ["at"], "ip": [":"], "card": [], "phone": []}
+#: Kinds whose generators all take a digit.
+WITH_DIGIT = ["card", "phone"]
 CONTEXT = 24
 CUES = {
     "email": r"(?i)(?:e-?mail|contact|write|reach|correo|courriel|schreib)",
@@ -90,9 +93,8 @@ def matches(text: Column, pattern: str) -> Column:
 
 
 def _guarded(text: Column, found: Column, marks: list[str]) -> Column:
-    if not marks:
-        return found
-    has = reduce(lambda a, b: a & b, [text.contains(m) for m in marks])
+    """`found` where the text holds one of the marks, without which nothing can be found."""
+    has = reduce(lambda a, b: a | b, [text.contains(m) for m in marks])
     return F.when(has, found).otherwise(F.array().cast("array<struct<start:int,stop:int,hit:string>>"))
 
 
@@ -118,7 +120,8 @@ def features(kind: Column, hit: Column, before: Column, after: Column) -> Column
     parts = F.split(hit, r"\[?\.\]?|:")
     valid = F.when(kind == 2, (F.length(d) >= 13) & (F.length(d) <= 19) & passes_luhn(F.when(d == "", "1").otherwise(d))).when(
         (kind == 1) & ~hit.contains(":"), F.forall(parts, lambda p: F.coalesce(p.try_cast("int"), F.lit(999)) <= 255)
-    ).when(kind == 1, (F.size(parts) == 8) & hit.rlike("[a-fA-F]|::")).when(kind == 3, (F.length(d) >= 9) & (F.length(d) <= 15)).otherwise(
+    ).when((kind == 1) & hit.contains("::"), F.size(F.filter(parts, lambda p: p != "")) <= 7).when(
+        kind == 1, (F.size(parts) == 8) & hit.rlike("[a-fA-F]")).when(kind == 3, (F.length(d) >= 9) & (F.length(d) <= 15)).otherwise(
         hit.rlike(r"(?i)(?:com|org|net|edu|de|fr|es|io|uk|info)$"))
     values = {
         "kind": kind, "n_digits": F.length(d), "n_letters": count("[^A-Za-z]"), "n_chars": F.char_length(hit),
@@ -137,13 +140,14 @@ def features(kind: Column, hit: Column, before: Column, after: Column) -> Column
 #: Formats of the training table, D for a digit, H for a hexadecimal one, W for a word. Fixed values.
 POSITIVE = {
     "email": ["W (at) W.com", "W[at]W.org", "W.W [at] W [dot] com", "W at W dot com", "W.WDD (at) W-W.de", "W at W dot W dot net", "W{at}W.io"],
-    "ip": ["HHHH:HHHH:HHHH:HHHH:HHHH:HHHH:HHHH:HHHH", "aHHH:HH:bHH:HHHH:H:cHHH:HHHH:HHHH", "1DD[.]1DD[.]DD[.]1DD", "DD[.]DD[.]1DD[.]D"],
+    "ip": ["HHHH:HHHH:HHHH:HHHH:HHHH:HHHH:HHHH:HHHH", "aHHH:HH:bHH:HHHH:H:cHHH:HHHH:HHHH", "1DD[.]1DD[.]DD[.]1DD", "DD[.]DD[.]1DD[.]D", "1D[.]D[.]D[.]1D",
+           "abcd:cafe:fade:beef:deca:face:feed:bead", "2DDD:dbH::H", "2DDD:HHHH:bHHH::HH", "feH0::HHHH:aHHH:HHHH:HHHH", "::ffff:HHHH:cHHH", "fdHH:HHHH::HHHH:H", "::1"],
     "card": ["4DDD/DDDD/DDDD/DDDD", "5DDD.DDDD.DDDD.DDDD", "4DDD_DDDD_DDDD_DDDD"],
     "phone": ["(DDD) DDD-DDDD", "DDD-DDD-DDDD", "(DDD) DDD.DDDD", "DDD.DDD.DDDD", "(0DD) DDDD-DDDD", "0DD DD DD DD DD", "0DDD/DDD DDDD"],
 }
 NEGATIVE = {
     "email": ["W at W dot W", "W (at) W.W", "W [at] W.W.W"],
-    "ip": ["DD:DD:DD:DD", "HH:HH:HH:HH:HH:HH", "DDD[.]DDD[.]DDD[.]DDD", "D:D:D:D:D", "DDDD:DDDD:DDDD:DDDD"],
+    "ip": ["DD:DD:DD:DD", "HH:HH:HH:HH:HH:HH", "DDD[.]DDD[.]DDD[.]DDD", "D:D:D:D:D", "DDDD:DDDD:DDDD:DDDD", "a::b", "bad::face", "add::HH", "D::D", "DD::DD", "DD:DD::DD"],
     "card": ["DDDD/DDDD/DDDD/DDDD", "DDDD.DDDD.DDDD.DDDD", "DDDD_DDDD_DDDD_D"],
     "phone": ["20DD-DD-DD", "DD.DD.20DD", "DD/DD/19DD", "DDD DDD DDD", "DDDD-DDDD", "DD-DD-DD", "D9-20DD-DDD", "978-DD-DDDD-DDD", "DDD-DD-DDDD",
               "DD DDD DDD", "DDDD DDDD", "20DD-20DD 20DD", "DDD.DDD.DDD", "DDD/DDD/DDD", "DD DD DD", "DDDD.DDDD.DD", "DDD DDD DDDD", "DD DD DD DD DD"],
@@ -227,7 +231,7 @@ class SpanModel:
 
 def _candidates(text: Column, kind: str) -> Column:
     """What the generators of a kind propose, with the surroundings."""
-    found = F.concat(*(_guarded(text, matches(text, p), MARKS[kind]) for p in WIDE[kind]))
+    found = F.concat(*(_guarded(text, matches(text, p), marks) for p, marks in WIDE[kind]))
     return F.transform(found, lambda x: F.struct(
         x["start"].alias("start"), x["stop"].alias("stop"), x["hit"].alias("hit"),
         F.substring(text, F.greatest(x["start"] - CONTEXT, F.lit(0)) + 1, F.least(x["start"], F.lit(CONTEXT))).alias("before"),
@@ -263,7 +267,7 @@ def find_spans(docs: DataFrame, model: SpanModel | None = None) -> DataFrame:
     for i, kind in enumerate(KINDS):
         empty = F.array().cast("array<struct<start:int,stop:int,hit:string,before:string,after:string>>")
         proposals = _candidates(text, kind)
-        rows = rows.withColumn(f"_wide_{kind}", proposals if kind == "email" else F.when(has_digit, proposals).otherwise(empty))
+        rows = rows.withColumn(f"_wide_{kind}", F.when(has_digit, proposals).otherwise(empty) if kind in WITH_DIGIT else proposals)
         free = lambda c: ~F.exists("base", lambda b: (b["start"] < c["stop"]) & (c["start"] < b["stop"]))
         rows = rows.withColumn(f"_judged_{kind}", F.transform(F.filter(f"_wide_{kind}", free), _featured(i)))
         sure = F.filter(f"_judged_{kind}", model.accepts(kind))
