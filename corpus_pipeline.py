@@ -42,7 +42,7 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), keep_ids=False)
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
 STAGES = [

@@ -137,25 +137,23 @@ def place_pieces(pieces: DataFrame, capacity: int = SEQUENCE) -> DataFrame:
     return ranked.select(*names, "_rank").mapInArrow(place, f"{kinds}, sequence_id long, offset long")
 
 
-def _checksums(pieces: DataFrame) -> DataFrame:
-    """Pieces with the checksum of their ids instead of the ids."""
-    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
-
-
-def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = SEQUENCE, keep_ids: bool = True) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids (or ids_crc32), doc_tokens, sequence_id, offset.
+def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = SEQUENCE) -> DataFrame:
+    """One row per piece: doc_id, start, length, ids, doc_tokens, sequence_id, offset.
 
     Every id of every document, and its end id, lies in exactly one piece; sequences are numbered from 0 and filled
     from offset 0 without gaps. NULL and empty texts are one piece with the end id. Repeated rows are packed each;
     rows that are equal in doc_id and text are interchangeable. Other columns are ignored. An empty table gives an
-    empty table.
+    empty table. Places are found without the ids, which join them by the number of their stored row.
     """
-    pieces = cut_documents(docs, tokenizer, capacity)
-    return place_pieces(durable(pieces if keep_ids else _checksums(pieces)), capacity)
+    pieces = durable(cut_documents(docs, tokenizer, capacity).withColumn("_piece", F.monotonically_increasing_id()))
+    placed = durable(place_pieces(pieces.drop("ids"), capacity))
+    return placed.join(pieces.select("_piece", "ids"), "_piece").select("doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset")
 
 
 @query("op2_packing")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packed pieces, with the checksum of their ids instead of the ids."""
     import public_tokenizers
 
-    return pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), keep_ids=False)
+    packed = pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
