@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from checks.corpus import corpus, table, vectors, with_sql
 from checks.registry import check
+from corpuslens.operators import cells
 from corpuslens.operators import quality as q
 from corpuslens.session import durable
 
@@ -74,6 +75,12 @@ def silhouette(spark, sf):
     return q.silhouette(vectors(spark, sf)).withColumn("silhouette", F.round("silhouette", 6))
 
 
+@check("silhouette_tree", SILHOUETTE.format(distance="list_distance(a.x, b.x)"))
+def silhouette_tree(spark, sf):
+    rows = cells.silhouette_tree(vectors(spark, sf), tolerance=1e-7)
+    return rows.withColumn("silhouette", F.round("silhouette", 6))
+
+
 @check("silhouette_squared", SILHOUETTE.format(distance="pow(list_distance(a.x, b.x), 2)"))
 def silhouette_squared(spark, sf):
     return q.silhouette_squared(vectors(spark, sf)).withColumn("silhouette", F.round("silhouette", 6))

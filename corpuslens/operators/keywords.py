@@ -9,10 +9,24 @@ from corpuslens.functions.text import keyword_array, keyword_occurrences
 from corpuslens.schema import OUTLIER
 
 TOP_N = 10
+LANES = 64
 
 
 def top_n_per_group(df: DataFrame, group: str, order: list[Column], n: int, rank: str = "rank") -> DataFrame:
-    """First `n` rows of every group; Spark keeps only `n` per task and group before the shuffle."""
+    """First `n` rows of every group.
+
+    Up to a limit of Spark's, 1000 rows, only `n` rows per task and group are shuffled to the group. Above it the rows
+    are ranked by group and partition first, then by group and lane, so that no task gets more of a group than a
+    partition, what the partitions of a lane kept, or LANES * n rows.
+    """
+    spark = df.sparkSession
+    if n > int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        columns = df.columns
+        df = df.withColumn("_part", F.spark_partition_id())
+        for lane in (F.col("_part"), F.col("_part") % LANES):
+            inside = Window.partitionBy(group, "_lane").orderBy(*order)
+            df = df.withColumn("_lane", lane).withColumn("_r", F.row_number().over(inside)).where(F.col("_r") <= n)
+        df = df.select(columns)
     ranked = df.withColumn(rank, F.row_number().over(Window.partitionBy(group).orderBy(*order)))
     return ranked.where(F.col(rank) <= n)
 

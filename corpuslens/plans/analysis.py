@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -27,6 +27,7 @@ class Settings:
     tie_break: str = "median_low"
     target_topics: int = 10
     reassign_outliers: bool = False
+    shape: Callable[..., DataFrame] | None = None
     seeds: DataFrame | None = None
     top_n: int = keywords.TOP_N
     target_ranks: Sequence[int] = (1, 2, 3)
@@ -47,7 +48,14 @@ def analyze(docs: DataFrame, embeddings: DataFrame | None = None, settings: Sett
     coords = durable(vectors.reduce_dims(embeddings, s.dims))
 
     grid = [s.min_topic_size] if s.min_topic_size else s.grid
-    rows, assignments = density.topic_sweep(coords, grid, s.cutoff)
+
+    def moved(assignment: DataFrame) -> DataFrame:
+        """Outliers of one size moved to the topics whose words they use."""
+        labeled = documents.labeled_docs(corpus, assignment)
+        term_weights = weights.ctfidf(weights.term_counts(labeled, "text", s.stop_words), s.seeds)
+        return weights.reassign_outliers(labeled, term_weights, "text", s.stop_words)
+
+    rows, assignments = density.topic_sweep(coords, grid, s.cutoff, s.shape, moved if s.reassign_outliers else None)
     if s.min_topic_size:
         # A single given size is taken as it is.
         chosen = s.min_topic_size
@@ -57,10 +65,6 @@ def analyze(docs: DataFrame, embeddings: DataFrame | None = None, settings: Sett
 
     labeled = documents.labeled_docs(corpus, assignment)
     term_weights = weights.ctfidf(weights.term_counts(labeled, "text", s.stop_words), s.seeds)
-    if s.reassign_outliers:
-        assignment = durable(weights.reassign_outliers(labeled, term_weights, "text", s.stop_words))
-        labeled = documents.labeled_docs(corpus, assignment)
-        term_weights = weights.ctfidf(weights.term_counts(labeled, "text", s.stop_words), s.seeds)
 
     comparison = durable(keywords.keyword_comparison(
         keywords.topic_doc_counts(labeled),

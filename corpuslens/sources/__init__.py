@@ -8,7 +8,7 @@ from corpuslens.sources.files import (
 )
 from corpuslens.sources.ingest import assign_doc_id, id_quality, map_columns
 from corpuslens.sources.vectors import load_embeddings
-from corpuslens.sources.xml import citation_rows, read_atom_feed, read_citations
+from corpuslens.sources.xml import citation_rows, load_atom_feed, load_citations, parse_citations, read_atom_feed, read_citations
 
 __all__ = [
     "assign_doc_id",
@@ -16,6 +16,9 @@ __all__ = [
     "id_quality",
     "load_embeddings",
     "map_columns",
+    "load_atom_feed",
+    "load_citations",
+    "parse_citations",
     "read_atom_feed",
     "read_citation_ids",
     "read_citations",

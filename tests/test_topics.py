@@ -3,6 +3,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from corpuslens import sinks
 from corpuslens.operators import keywords as k
@@ -151,3 +152,14 @@ def test_whole_analysis(spark, tmp_path):
     assert read["trend_stats"].count() == 6
     assert json.loads(read["results"].first().bundle)["summary"]["n_topics"] == 3
     assert read["scatter"].count() == 240 and read["sweep"].where("selected").count() == 1
+
+
+def test_top_n_above_the_limit_of_a_window(spark):
+    """One group holds nearly all rows, many of them the same."""
+    df = spark.range(60_000).repartition(7).selectExpr("if(id < 40, 'b', 'a') AS g", "if(id % 3 = 0, 5, id) AS v")
+    got = {}
+    for r in k.top_n_per_group(df, "g", [F.col("v").desc()], 5000).collect():
+        got.setdefault(r.g, []).append((r["rank"], r.v))
+    values = sorted((5 if i % 3 == 0 else i for i in range(40, 60_000)), reverse=True)[:5000]
+    assert sorted(got["a"]) == list(zip(range(1, 5001), values, strict=True))
+    assert len(got["b"]) == 40
