@@ -21,6 +21,7 @@ class Settings:
     stop_words: Sequence[str] | str | None = "english"
     dims: int = 2
     vector_dim: int = 16
+    vector_features: int = vectors.HASH_FEATURES
     min_topic_size: int | None = None
     grid: Sequence[int] | None = None
     cutoff: quality.Cutoff = field(default_factory=quality.Cutoff)
@@ -35,15 +36,23 @@ class Settings:
     p_threshold: float = trends.P_THRESHOLD
     window: int = trends.WINDOW
     tiers: Sequence[str] = ranking.TIERS
+    contours: bool = False
 
 
-def analyze(docs: DataFrame, embeddings: DataFrame | None = None, settings: Settings = Settings(), run_id: str = "run") -> dict[str, DataFrame]:
-    """All tables of one run, by name. `docs` has the corpus schema with unique `doc_id`."""
+def analyze(
+    docs: DataFrame, embeddings: DataFrame | None = None, settings: Settings = Settings(), run_id: str = "run",
+    given_labels: DataFrame | None = None,
+) -> dict[str, DataFrame]:
+    """All tables of one run, by name. `docs` has the corpus schema with unique `doc_id`.
+
+    `given_labels` (topic, label_en, label_kr, description), for instance parsed from a model's answers, name the topics
+    they list; the others are named after their keywords. `contours` is only made if the settings ask for it.
+    """
     s = settings
     corpus = documents.clean_documents(docs) if s.clean else docs
     corpus = documents.drop_blank(documents.pick_text(corpus), "text")
     if embeddings is None:
-        embeddings = vectors.embed_text(corpus, "text", s.vector_dim, s.stop_words)
+        embeddings = vectors.embed_text(corpus, "text", s.vector_dim, s.stop_words, s.vector_features)
     embeddings = durable(embeddings)
     coords = durable(vectors.reduce_dims(embeddings, s.dims))
 
@@ -73,7 +82,11 @@ def analyze(docs: DataFrame, embeddings: DataFrame | None = None, settings: Sett
         keywords.keyword_topn(labeled, "author_keywords", s.top_n),
         keywords.keyword_topn(labeled, "mesh_terms", s.top_n),
     ))
-    names = durable(labels.keyword_labels(comparison))
+    names = labels.keyword_labels(comparison)
+    if given_labels is not None:
+        given = durable(given_labels.select(names.columns).dropDuplicates(["topic"]))
+        names = given.join(comparison.select("topic"), "topic", "left_semi").select(names.columns).unionByName(names.join(given.select("topic"), "topic", "left_anti"))
+    names = durable(names)
     ranked = durable(ranking.assign_tiers(ranking.topic_rank_by_size(
         documents.topics_labels(comparison.select("topic", "doc_count"), names).withColumn("run_id", F.lit(run_id))
     ), s.tiers))
@@ -87,20 +100,26 @@ def analyze(docs: DataFrame, embeddings: DataFrame | None = None, settings: Sett
 
     summary = report.corpus_summary(dated.withColumn("run_id", F.lit(run_id)), ["run_id"])
     metrics = quality.topic_metrics(labeled.withColumn("run_id", F.lit(run_id)), ["run_id"])
+    scatter = report.scatter_points(coords, assignment, names)
+    more = {"contours": report.density_grid(scatter)} if s.contours else {}
     return {
         "assignment": assignment,
         "coords": coords,
         "embeddings": embeddings,
         "sweep": quality.sweep_table(rows, chosen),
+        "sweep_heatmap": quality.sweep_heatmap(rows),
         "keywords": comparison,
         "labels": names,
         "ranking": ranked,
         "year_topic": trends.year_topic_share(by_year),
+        "year_topic_pivot": trends.year_topic_pivot(by_year, names),
+        "docs_per_year": report.docs_per_year(dated),
         "trend_stats": trends.trend_stats(years, followed, names, s.p_threshold),
         "trend_series": trends.trend_series(years, followed, s.window),
         "cards": report.topic_cards(comparison, names),
-        "scatter": report.scatter_points(coords, assignment, names),
+        "scatter": scatter,
         "results": report.results_bundle(summary, metrics, ranked),
+        **more,
     }
 
 

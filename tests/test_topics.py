@@ -141,11 +141,18 @@ def test_whole_analysis(spark, tmp_path):
     docs = spark.createDataFrame(
         rows, "doc_id long, row_idx long, year int, title string, abstract string, author_keywords string, mesh_terms string"
     )
-    tables = analyze(docs, settings=Settings(min_topic_size=25, clean=True, stop_words=["the"]))
+    given = spark.createDataFrame([(0, "first", "처음", "given"), (99, "none", "none", "no such topic")], "topic int, label_en string, label_kr string, description string")
+    settings = Settings(min_topic_size=25, clean=True, stop_words=["the"], reassign_outliers=True, contours=True)
+    tables = analyze(docs, settings=settings, given_labels=given)
     paths = save(tables, str(tmp_path), "one")
     read = {name: spark.read.parquet(path) for name, path in paths.items()}
     pdf = read["assignment"].toPandas()
     pdf = pdf[pdf["topic"] >= 0]
+    names = {r.topic: r.label_en for r in read["labels"].collect()}
+    assert names[0] == "first" and set(names) == {0, 1, 2} and "first" not in (names[1], names[2])
+    assert any(c.endswith("처음") for c in read["year_topic_pivot"].columns)
+    assert sum(r.n for r in read["docs_per_year"].collect()) == read["year_topic"].groupBy().sum("n").first()[0]
+    assert read["sweep_heatmap"].count() == 1 and {r.topic for r in read["contours"].select("topic").distinct().collect()} <= {0, 1, 2}
     assert len(pdf) > 200 and pdf.groupby("topic")["doc_id"].agg(lambda s: len(set(s % 3))).tolist() == [1, 1, 1]
     cards = read["cards"].collect()
     assert len(cards) == 3 and all("all(" in c.author_keywords_freq and c.keybert and "humans(" in c.mesh_freq for c in cards)
