@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession
 
 from checks import QUERIES, SQL
 
-TABLES = ["documents", "embeddings"]
+TABLES = ["documents", "embeddings", "benchmark", "conversations"]
 
 
 def connect(sf: str) -> duckdb.DuckDBPyConnection:
