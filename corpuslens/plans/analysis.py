@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from corpuslens.operators import density, documents, keywords, labels, quality, ranking, report, trends, vectors, weights
 from corpuslens.session import durable
-from corpuslens.sinks import resolve_run_id, write_table
+from corpuslens.sinks import publish_run, resolve_run_id
 
 
 @dataclass(frozen=True)
@@ -124,9 +124,9 @@ def analyze(
 
 
 def save(tables: dict[str, DataFrame], base: str, run_id: str) -> dict[str, str]:
-    """Write every table of a run below `base`; returns their paths.
+    """Write every table of a run below `base` and publish the run; returns their paths.
 
-    The run id 'auto' is replaced once, so that all tables of the run share one folder.
+    The run id 'auto' is replaced once, so that all tables of the run share one folder. `sinks.saved_run` reads a run
+    back; one that was stopped half-way is absent, and a published one is not written again.
     """
-    run_id = resolve_run_id(run_id)
-    return {name: write_table(df, base, run_id, name) for name, df in tables.items()}
+    return publish_run(tables, base, resolve_run_id(run_id))

@@ -130,6 +130,21 @@ def test_tables_by_run(spark, tmp_path):
     assert text == "﻿id,k,t\n1,a; b,\"x\ny\"\n"
 
 
+def test_a_run_is_whole_or_absent(spark, tmp_path):
+    base = str(tmp_path)
+    good = spark.range(3)
+    bad = good.select(F.raise_error(F.lit("stopped")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="stopped"):
+        sinks.publish_run({"a": good, "b": bad}, base, "one")
+    assert sinks.saved_run(spark, base, "one") == {}
+    sinks.publish_run({"a": good, "b": good.where("id = 1")}, base, "one")
+    read = sinks.saved_run(spark, base, "one")
+    assert {n: t.count() for n, t in read.items()} == {"a": 3, "b": 1}
+    with pytest.raises(FileExistsError):
+        sinks.publish_run({"a": good}, base, "one")
+    assert sinks.saved_run(spark, base, "one")["a"].count() == 3
+
+
 def test_whole_analysis(spark, tmp_path):
     """Three themes with their own words come out as three topics, through to the report tables."""
     themes = ["river fish water boat lake stream", "star moon planet orbit comet sun", "bread flour oven yeast dough salt"]
