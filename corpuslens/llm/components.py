@@ -43,6 +43,19 @@ def components(links: DataFrame) -> DataFrame:
     raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
 
 
+def joined(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """`groups` (id, root) after more links (a, b): only the roots that the links connect are searched anew."""
+    if links.isEmpty():
+        return groups
+    first = links.join(groups.select(F.col("id").alias("a"), F.col("root").alias("ra")), "a", "left")
+    both = durable(first).join(groups.select(F.col("id").alias("b"), F.col("root").alias("rb")), "b", "left")
+    between = both.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
+    moved = components(between).select(F.col("id").alias("root"), F.col("root").alias("up"))
+    old = groups.join(moved, "root", "left").select("id", F.coalesce("up", "root").alias("root"))
+    new = moved.select(F.col("root").alias("id"), F.col("up").alias("root"))
+    return durable(old.unionByName(new.join(groups, "id", "left_anti")))
+
+
 def led_links(members: DataFrame, verified: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
     """(links, groups): the links (a, b, ...) that `verified` finds among pairs (a, b) of `members` (band, doc_id), and
     `components` of them.

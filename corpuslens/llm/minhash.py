@@ -6,17 +6,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpuslens.llm.components import components
-from corpuslens.llm.tables import documents, id_and_text, query
+from corpuslens.llm.components import components, joined
+from corpuslens.llm.tables import documents, id_and_text, packed_rows, query
 from corpuslens.llm.words import Words, mix, shingles, slices, text_buffers
 from corpuslens.session import durable
 
 SIMILARITY = 0.8
 BANDS, ROWS = 25, 5
 REGISTERS = BANDS * ROWS
+#: Rounds in which the rest of a band is compared with one text; what they leave is paired by rare differences.
+LEADER_ROUNDS = 3
 #: Weight levels 0, 1, 2, 4, ...: a process lives on each interval between neighbours.
 MAX_LEVEL = 40
 _UNIT = 2.0**-53
@@ -108,6 +110,15 @@ def _multisets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     return value[head], count, text[head]
 
 
+def _fingerprint(value: np.ndarray, count: np.ndarray, text: np.ndarray, texts: int) -> pa.Array:
+    """16 bytes for the multiset as a whole: the same for texts with equal shingles and counts."""
+    token = mix(value ^ (count.astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)))
+    whole = np.zeros((texts, 2), np.uint64)
+    np.add.at(whole[:, 0], text, token)
+    np.add.at(whole[:, 1], text, mix(token))
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), texts, [None, pa.py_buffer(whole.tobytes())]).cast(pa.binary())
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = text_buffers(batch.column("text"))
@@ -119,17 +130,12 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x2545F4914F6CDD1D), (j - i, BANDS)).copy()
             for r in range(ROWS):
                 key = mix(key * np.uint64(3) + bits[:, :, r])
-            # The multiset as a whole: the same for texts with equal shingles and counts.
-            token = mix(value ^ (count.astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)))
-            whole = [np.zeros(j - i, np.uint64) for _ in range(2)]
-            np.add.at(whole[0], text, token)
-            np.add.at(whole[1], text, mix(token))
             empty = np.isinf(sign[:, 0])
             keys = pa.FixedSizeListArray.from_arrays(pa.array(key.view(np.int64).ravel()), BANDS).cast(pa.list_(pa.int64()))
+            row = [batch.column(n).slice(i, j - i) for n in ("doc_id", "h1", "h2")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").slice(i, j - i), pa.array(whole[0].view(np.int64)), pa.array(whole[1].view(np.int64)),
-                 pa.array(empty), keys],
-                names=["doc_id", "c1", "c2", "empty", "bands"],
+                [*row, _fingerprint(value, count, text, j - i), pa.array(empty), keys],
+                names=["doc_id", "h1", "h2", "key", "empty", "bands"],
             )
 
 
@@ -144,18 +150,109 @@ def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             item = mix(value[row] + copy.astype(np.uint64) * np.uint64(0x94D049BB133111EB)).view(np.int64)
             ends = np.searchsorted(text[row], np.arange(j - i + 1))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").slice(i, j - i), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(item))],
-                names=["doc_id", "items"],
+                [_fingerprint(value, count, text, j - i), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(item))],
+                names=["key", "items"],
             )
 
 
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b, ...) with the sets x of `a` and y of `b`. One set after the other is joined; the join side of a
+    key with many pairs can be split, as all inputs are stored."""
+    half = durable(pairs).join(sets.select(F.col("key").alias("a"), F.col("items").alias("x")), "a")
+    return half.join(sets.select(F.col("key").alias("b"), F.col("items").alias("y")), "b")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose multisets overlap enough. The set of `a`, then that of `b`, is joined to the pair; the
-    join side of an id with many pairs can be split, as all inputs are stored."""
-    half = durable(pairs).join(sets.select(F.col("doc_id").alias("a"), F.col("items").alias("x")), "a")
-    full = half.join(sets.select(F.col("doc_id").alias("b"), F.col("items").alias("y")), "b")
+    """The pairs (a, b) whose multisets overlap enough."""
     common = F.size(F.array_intersect("x", "y"))
-    return full.where(common >= F.lit(similarity) * (F.size("x") + F.size("y") - common)).select("a", "b")
+    enough = common >= F.lit(similarity) * (F.size("x") + F.size("y") - common)
+    return durable(_with_sets(pairs, sets).where(enough).select("a", "b"))
+
+
+def _rooted(members: DataFrame, groups: DataFrame) -> DataFrame:
+    known = groups.withColumnRenamed("id", "key")
+    return members.join(known, "key", "left").withColumn("root", F.coalesce("root", "key"))
+
+
+def _rare_difference_pairs(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of texts that share a band, lie in different groups and may still be near copies; none is lost.
+
+    `members` (band, leader, key, root). All texts that meet a leader L in any band are seen as their differences to
+    L: with m items missing and n added, weigh w = m + similarity * n. Two texts are near copies exactly if they share
+    at least (w1 + w2 - (1 - similarity) * |L|) / (1 + similarity) differences, and that is above zero for texts that
+    are not both linked to L. So their first common difference, in the order of rising frequency among the texts of L,
+    has at least that many of each text's differences from there on: joining on it with this bound for the other's
+    weight finds every pair. Copies of one text with changes of their own share only frequent differences, too late in
+    the order to be joined. Differences that a single group holds join nothing and are left out first.
+    """
+    hubs = durable(members.where("key <> leader").select("leader", "key", "root").distinct())
+    several = hubs.groupBy("leader").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("leader")
+    met = _with_sets(hubs.join(durable(several), "leader").select(F.col("leader").alias("a"), F.col("key").alias("b"), "root"), sets)
+    missing, added = F.array_except("x", "y"), F.array_except("y", "x")
+    unlike = met.select(F.col("a").alias("leader"), F.col("b").alias("key"), "root", F.size("x").alias("size"), missing.alias("m"), added.alias("n"))
+    weight = F.size("m") + F.lit(similarity) * F.size("n")
+    unlike = durable(unlike.select("leader", "key", "root", "size", weight.alias("w"), F.concat("m", "n").alias("items")))
+    lightest = unlike.groupBy("leader").agg(F.min("w").alias("least"))
+    each = durable(unlike.select("leader", "key", "root", F.explode("items").alias("item")))
+    common = each.groupBy("leader", "item").agg(F.count(F.lit(1)).alias("holders"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+    common = durable(common.where("lo <> hi").select("leader", "item", "holders"))
+    # How many of a text's common differences stand at this place of the order or later.
+    late = Window.partitionBy("leader", "key").orderBy(F.desc("holders"), F.desc("item"))
+    held = each.join(common, ["leader", "item"]).withColumn("later", F.row_number().over(late))
+    held = held.join(unlike.select("leader", "key", "size", "w"), ["leader", "key"]).join(lightest, "leader")
+    most = F.lit(1 + similarity) * F.col("later") + F.lit(1 - similarity) * F.col("size") - F.col("w") + F.lit(1e-6)
+    held = held.withColumn("most", most).where("most >= least")
+    held = durable(held.select("leader", "item", "key", "root", "w", "most"))
+    x, y = held.alias("x"), held.alias("y")
+    same = F.expr("x.leader = y.leader AND x.item = y.item AND x.key < y.key AND x.root <> y.root AND x.w <= y.most AND y.w <= x.most")
+    return x.join(y, same).select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct()
+
+
+def _grouped(one: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
+    """(id, root) for the keys of `one` (key, h1, h2, bands) that are linked to others. `rows` (h1, h2, text)."""
+    banded = durable(one.select("key", F.explode("bands").alias("band")))
+    counted = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = durable(banded.join(durable(counted), "band"))
+    # The text whose bands hold the most others is the most central one; all its bands then have one leader.
+    popular = durable(shared.groupBy("key").agg(F.sum("n").alias("popular")))
+    ranked = durable(shared.join(popular, "key").select("band", "key", "popular"))
+    leaders = ranked.groupBy("band").agg(F.max(F.struct("popular", "key")).alias("l")).select("band", F.col("l.key").alias("leader"))
+    members = durable(ranked.join(durable(leaders), "band"))
+    wanted = durable(popular.select("key").join(one.select("key", "h1", "h2"), "key").select("h1", "h2"))
+    texts = rows.join(wanted, ["h1", "h2"], "left_semi").groupBy("h1", "h2").agg(F.min("text").alias("text"))
+    sets = durable(texts.select("text").mapInArrow(_expand, "key binary, items array<long>"))
+    pairs = members.where("key <> leader").select(F.col("leader").alias("a"), F.col("key").alias("b")).distinct()
+    groups = components(_verified(pairs, sets, similarity))
+    for _ in range(LEADER_ROUNDS - 1):
+        # What the groups of a band's first leader do not hold gets a leader of its own.
+        of_leader = groups.select(F.col("id").alias("leader"), F.col("root").alias("leader_root"))
+        named = _rooted(members, groups).join(of_leader, "leader", "left")
+        apart = durable(named.where(F.col("root") != F.coalesce("leader_root", "leader")).select("band", "key", "popular", "root"))
+        heads = apart.groupBy("band").agg(F.max(F.struct("popular", "key", "root")).alias("h"))
+        met = apart.join(durable(heads), "band").where("root <> h.root")
+        pairs = met.select(F.col("h.key").alias("a"), F.col("key").alias("b")).distinct()
+        groups = joined(groups, _verified(pairs, sets, similarity))
+    rest = _rare_difference_pairs(durable(_rooted(members, groups).select("band", "leader", "key", "root")), sets, similarity)
+    return joined(groups, _verified(rest, sets, similarity))
+
+
+def _classified(docs: DataFrame, similarity: float) -> DataFrame:
+    """Rows of `docs`: (doc_id, h1, h2, empty, first).
+
+    h1 and h2 are hashes of the text, `first` the smallest (no id, doc_id, h1, h2) of the row's group, NULL for a text
+    without words. Only texts are compared, so rows without id or with repeated ids are like all others.
+    """
+    rows = id_and_text(docs).withColumns({"h1": F.xxhash64("text"), "h2": F.hash("text")})
+    signed = durable(rows.mapInArrow(_sign, _schema(docs, "h1 long, h2 int, key binary, empty boolean, bands array<long>")))
+    row = F.struct(F.col("doc_id").isNull().alias("anonymous"), "doc_id", "h1", "h2", "bands")
+    one = signed.where("not empty").groupBy("key").agg(F.min(row).alias("row"))
+    one = durable(one.select("key", F.struct("row.anonymous", "row.doc_id", "row.h1", "row.h2").alias("first"), "row.h1", "row.h2", "row.bands"))
+    groups = _grouped(one.drop("first"), rows, similarity)
+    rooted = durable(_rooted(one.select("key", "first"), groups))
+    firsts = rooted.groupBy("root").agg(F.min("first").alias("first"))
+    classes = durable(rooted.select("key", "root").join(durable(firsts), "root").select("key", "first"))
+    named = signed.select("doc_id", "h1", "h2", "empty", F.expr("if(empty, NULL, key)").alias("key"))
+    return named.join(classes, "key", "left").drop("key")
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -164,59 +261,48 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     Two texts are linked if the weighted Jaccard similarity of their multisets of five-word shingles (words between
     ASCII white space, as written) is at least `similarity`; groups are the connected components. A text of one to
     four words is one shingle; texts without words (NULL, empty) are not linked to anything. Documents with equal
-    multisets are one text from the start, however many there are. doc_id must be unique and not NULL. Other
-    columns are ignored. An empty table gives an empty table.
+    multisets are one text from the start, however many there are. Every row gives a row: rows that repeat a doc_id
+    are grouped by their own texts, rows without one belong to a group as well but never name it (class_id is NULL if
+    none of its rows has an id). Other columns are ignored. An empty table gives an empty table.
 
     Texts that share a band are candidates, and a band may hold very many. Each text of a band is compared with the
-    band's leader (its smallest id). Linked texts need no more comparing; what a band still holds of different groups
-    is compared with 1, 2, 4, ... further leaders a round, until every text that is not in the group of the band's
-    largest part has been leader. So the pairs made follow the texts plus the failed comparisons, never the square
-    of a group, and no candidate pair of different groups is left out.
+    band's most central text, what is left in LEADER_ROUNDS - 1 more rounds with the most central one of the rest.
+    All further candidates of different groups are found by `_rare_difference_pairs`, so none is left out, and copies
+    just below the threshold are not paired with each other.
     """
-    signed = durable(id_and_text(docs).mapInArrow(_sign, _schema(docs, "c1 long, c2 long, empty boolean, bands array<long>")))
-    full = signed.where("not empty")
-    first = durable(full.groupBy("c1", "c2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")))
-    copies = full.select("doc_id", "c1", "c2").join(first.where("copies > 1"), ["c1", "c2"]).select("doc_id", "rep")
-    copies = durable(copies.where("doc_id <> rep"))
-    reps = full.join(copies, "doc_id", "left_anti").select("doc_id", F.explode("bands").alias("band"))
-    bands = durable(reps)
-    shared = durable(bands.groupBy("band").agg(F.min("doc_id").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "leader"))
-    members = durable(bands.join(shared, "band"))
-    wanted = durable(members.select("doc_id").distinct())
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    sets = durable(id_and_text(docs).join(wanted, "doc_id", "left_semi").mapInArrow(_expand, f"doc_id {kind}, items array<long>"))
-    pairs = durable(members.where("doc_id <> leader").select(F.col("leader").alias("a"), F.col("doc_id").alias("b")).distinct())
-    links = durable(_verified(pairs, sets, similarity))
-    tested = pairs
-    groups = components(links)
-    lanes = 1
-    led = shared.select("band", F.col("leader").alias("doc_id"))
-    while True:
-        # What the leader's group does not cover, band by band.
-        named = durable(members.join(groups.withColumnRenamed("id", "doc_id"), "doc_id", "left")
-                        .select("band", "doc_id", "leader", F.coalesce("root", "doc_id").alias("root")))
-        of_leader = groups.select(F.col("id").alias("leader"), F.col("root").alias("leader_root"))
-        apart = durable(named.join(of_leader, "leader", "left").where(F.col("root") != F.coalesce("leader_root", "leader")).select("band", "doc_id", "root"))
-        left = durable(apart.join(led, ["band", "doc_id"], "left_anti"))
-        if left.isEmpty():
-            break
-        lane = F.pmod(F.xxhash64("doc_id", "band"), F.lit(lanes))
-        heads = durable(left.groupBy("band", lane.alias("lane")).agg(F.min(F.struct("doc_id", "root")).alias("h")).select("band", F.col("h.doc_id").alias("head"), F.col("h.root").alias("head_root")))
-        led = durable(led.unionByName(heads.select("band", F.col("head").alias("doc_id"))))
-        met = named.join(heads, "band").where("root <> head_root")
-        pairs = durable(met.select(F.least("head", "doc_id").alias("a"), F.greatest("head", "doc_id").alias("b")).distinct())
-        pairs = durable(pairs.join(tested, ["a", "b"], "left_anti"))
-        tested = durable(tested.unionByName(pairs))
-        more = durable(_verified(pairs, sets, similarity))
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            groups = components(links)
-        lanes *= 2
-    known = groups.select(F.col("id").alias("rep"), "root")
-    via = copies.join(known, "rep", "left").select("doc_id", F.coalesce("root", "rep").alias("class_id"))
-    direct = groups.select(F.col("id").alias("doc_id"), F.col("root").alias("class_id"))
-    classes = durable(via.unionByName(direct))
-    return signed.select("doc_id").join(classes, "doc_id", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
+    classified = _classified(docs, similarity)
+    return classified.select("doc_id", F.expr("if(empty, doc_id, first.doc_id)").alias("class_id"))
+
+
+def first_copies(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """`docs` with one row of each group of `near_duplicates`: the one with the smallest doc_id, then text hash.
+
+    Rows of one group that agree in doc_id and text are one row as well. Texts without words all stay, and so does a
+    document without id whose group has no other. All columns are kept as they are, whatever their names.
+    """
+    classified = _classified(docs, similarity)
+    found = durable(classified.where("not empty"))
+    here = F.struct(F.col("doc_id").isNull().alias("anonymous"), "doc_id", "h1", "h2")
+    row = ["doc_id", "h1", "h2"]
+    gone = durable(found.where(~here.eqNullSafe(F.col("first"))).select(*row).distinct())
+    again = durable(found.where(here.eqNullSafe(F.col("first"))).groupBy(*row).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*row))
+    rows, unpacked = packed_rows(docs)
+    keyed = rows.withColumns({"doc_id": _id_of(docs), "h1": F.xxhash64("text"), "h2": F.hash("text")})
+
+    def listed(table: DataFrame, tuples: DataFrame, how: str) -> DataFrame:
+        other = tuples.toDF("d", "g1", "g2")
+        return table.join(other, F.expr("doc_id <=> d AND h1 = g1 AND h2 = g2"), how)
+
+    kept = listed(keyed, gone, "left_anti")
+    if not again.isEmpty():
+        single = listed(kept, again, "left_semi").groupBy(*row).agg(F.first(F.struct("_row", "text")).alias("r")).select("r.*", *row)
+        kept = listed(kept, again, "left_anti").unionByName(single)
+    return unpacked(kept)
+
+
+def _id_of(docs: DataFrame) -> Column:
+    """doc_id inside the packed row."""
+    return F.col("_row")[f"_{docs.columns.index('doc_id')}"]
 
 
 def _schema(docs: DataFrame, rest: str) -> str:
