@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from corpuslens.llm.components import components, joined
 from corpuslens.llm.tables import documents, id_and_text, packed_rows, query
 from corpuslens.llm.words import Words, mix, shingles, slices, text_buffers
-from corpuslens.session import durable
+from corpuslens.session import durable, small_side
 
 SIMILARITY = 0.8
 BANDS, ROWS = 25, 5
@@ -133,9 +133,10 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             empty = np.isinf(sign[:, 0])
             keys = pa.FixedSizeListArray.from_arrays(pa.array(key.view(np.int64).ravel()), BANDS).cast(pa.list_(pa.int64()))
             row = [batch.column(n).slice(i, j - i) for n in ("doc_id", "h1", "h2")]
+            size = np.bincount(text, weights=count, minlength=j - i).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [*row, _fingerprint(value, count, text, j - i), pa.array(empty), keys],
-                names=["doc_id", "h1", "h2", "key", "empty", "bands"],
+                [*row, _fingerprint(value, count, text, j - i), pa.array(empty), pa.array(size), keys],
+                names=["doc_id", "h1", "h2", "key", "empty", "n", "bands"],
             )
 
 
@@ -162,6 +163,11 @@ def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return half.join(sets.select(F.col("key").alias("b"), F.col("items").alias("y")), "b")
 
 
+def _like_sizes(x: Column, y: Column, similarity: float) -> Column:
+    """Whether sets of these sizes can be similar enough at all."""
+    return F.least(x, y) >= F.lit(similarity) * F.greatest(x, y) - F.lit(1e-6)
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) whose multisets overlap enough."""
     common = F.size(F.array_intersect("x", "y"))
@@ -191,45 +197,49 @@ def _rare_difference_pairs(members: DataFrame, sets: DataFrame, similarity: floa
     missing, added = F.array_except("x", "y"), F.array_except("y", "x")
     unlike = met.select(F.col("a").alias("leader"), F.col("b").alias("key"), "root", F.size("x").alias("size"), missing.alias("m"), added.alias("n"))
     weight = F.size("m") + F.lit(similarity) * F.size("n")
-    unlike = durable(unlike.select("leader", "key", "root", "size", weight.alias("w"), F.concat("m", "n").alias("items")))
-    lightest = unlike.groupBy("leader").agg(F.min("w").alias("least"))
-    each = durable(unlike.select("leader", "key", "root", F.explode("items").alias("item")))
-    common = each.groupBy("leader", "item").agg(F.count(F.lit(1)).alias("holders"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-    common = durable(common.where("lo <> hi").select("leader", "item", "holders"))
+    # Hashes name the leader, the text under it and its group while differences are counted; a clash only adds pairs.
+    names = [F.xxhash64("leader").alias("l"), F.xxhash64("leader", "key").alias("t"), F.xxhash64("root").alias("g")]
+    unlike = durable(unlike.select(*names, "key", "size", weight.alias("w"), F.size("n").alias("added"), F.size("m").alias("lost"), F.concat("m", "n").alias("items")))
+    lightest = unlike.groupBy("l").agg(F.min("w").alias("least"))
+    weighed = durable(unlike.select("l", "t", "g", "key", "size", "w", (F.col("size") - F.col("lost") + F.col("added")).alias("n")).join(lightest, "l"))
+    each = durable(unlike.select("l", "t", "g", F.explode("items").alias("item")))
+    common = each.groupBy("l", "item").agg(F.count(F.lit(1)).alias("holders"), F.min("g").alias("lo"), F.max("g").alias("hi"))
+    common = durable(common.where("lo <> hi").select("l", "item", "holders"))
     # How many of a text's common differences stand at this place of the order or later.
-    late = Window.partitionBy("leader", "key").orderBy(F.desc("holders"), F.desc("item"))
-    held = each.join(common, ["leader", "item"]).withColumn("later", F.row_number().over(late))
-    held = held.join(unlike.select("leader", "key", "size", "w"), ["leader", "key"]).join(lightest, "leader")
+    late = Window.partitionBy("l", "t").orderBy(F.desc("holders"), F.desc("item"))
+    placed = each.join(common, ["l", "item"]).select("l", "t", "item", F.row_number().over(late).alias("later"))
+    held = placed.join(weighed, ["l", "t"])
     most = F.lit(1 + similarity) * F.col("later") + F.lit(1 - similarity) * F.col("size") - F.col("w") + F.lit(1e-6)
-    held = held.withColumn("most", most).where("most >= least")
-    held = durable(held.select("leader", "item", "key", "root", "w", "most"))
+    held = durable(held.withColumn("most", most).where("most >= least").select("l", "item", "g", "key", "n", "w", "most"))
     x, y = held.alias("x"), held.alias("y")
-    same = F.expr("x.leader = y.leader AND x.item = y.item AND x.key < y.key AND x.root <> y.root AND x.w <= y.most AND y.w <= x.most")
-    return x.join(y, same).select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct()
+    same = F.expr("x.l = y.l AND x.item = y.item AND x.key < y.key AND x.g <> y.g AND x.w <= y.most AND y.w <= x.most")
+    near = _like_sizes(F.col("x.n"), F.col("y.n"), similarity)
+    return x.join(y, same & near).select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct()
 
 
 def _grouped(one: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
-    """(id, root) for the keys of `one` (key, h1, h2, bands) that are linked to others. `rows` (h1, h2, text)."""
-    banded = durable(one.select("key", F.explode("bands").alias("band")))
-    counted = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    """(id, root) for the keys of `one` (key, h1, h2, n, bands) that are linked to others. `rows` (h1, h2, text)."""
+    banded = durable(one.select("key", "n", F.explode("bands").alias("band")))
+    counted = banded.groupBy("band").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
     shared = durable(banded.join(durable(counted), "band"))
     # The text whose bands hold the most others is the most central one; all its bands then have one leader.
-    popular = durable(shared.groupBy("key").agg(F.sum("n").alias("popular")))
-    ranked = durable(shared.join(popular, "key").select("band", "key", "popular"))
-    leaders = ranked.groupBy("band").agg(F.max(F.struct("popular", "key")).alias("l")).select("band", F.col("l.key").alias("leader"))
+    popular = durable(shared.groupBy("key").agg(F.sum("held").alias("popular")))
+    ranked = durable(shared.join(popular, "key").select("band", "key", "n", "popular"))
+    leaders = ranked.groupBy("band").agg(F.max(F.struct("popular", "key", "n")).alias("l")).select("band", F.col("l.key").alias("leader"), F.col("l.n").alias("leader_n"))
     members = durable(ranked.join(durable(leaders), "band"))
     wanted = durable(popular.select("key").join(one.select("key", "h1", "h2"), "key").select("h1", "h2"))
-    texts = rows.join(wanted, ["h1", "h2"], "left_semi").groupBy("h1", "h2").agg(F.min("text").alias("text"))
+    texts = rows.join(small_side(wanted), ["h1", "h2"], "left_semi").groupBy("h1", "h2").agg(F.min("text").alias("text"))
     sets = durable(texts.select("text").mapInArrow(_expand, "key binary, items array<long>"))
-    pairs = members.where("key <> leader").select(F.col("leader").alias("a"), F.col("key").alias("b")).distinct()
+    tried = members.where("key <> leader").where(_like_sizes(F.col("n"), F.col("leader_n"), similarity))
+    pairs = tried.select(F.col("leader").alias("a"), F.col("key").alias("b")).distinct()
     groups = components(_verified(pairs, sets, similarity))
     for _ in range(LEADER_ROUNDS - 1):
         # What the groups of a band's first leader do not hold gets a leader of its own.
         of_leader = groups.select(F.col("id").alias("leader"), F.col("root").alias("leader_root"))
         named = _rooted(members, groups).join(of_leader, "leader", "left")
-        apart = durable(named.where(F.col("root") != F.coalesce("leader_root", "leader")).select("band", "key", "popular", "root"))
-        heads = apart.groupBy("band").agg(F.max(F.struct("popular", "key", "root")).alias("h"))
-        met = apart.join(durable(heads), "band").where("root <> h.root")
+        apart = durable(named.where(F.col("root") != F.coalesce("leader_root", "leader")).select("band", "key", "n", "popular", "root"))
+        heads = apart.groupBy("band").agg(F.max(F.struct("popular", "key", "n", "root")).alias("h"))
+        met = apart.join(durable(heads), "band").where("root <> h.root").where(_like_sizes(F.col("n"), F.col("h.n"), similarity))
         pairs = met.select(F.col("h.key").alias("a"), F.col("key").alias("b")).distinct()
         groups = joined(groups, _verified(pairs, sets, similarity))
     rest = _rare_difference_pairs(durable(_rooted(members, groups).select("band", "leader", "key", "root")), sets, similarity)
@@ -243,10 +253,10 @@ def _classified(docs: DataFrame, similarity: float) -> DataFrame:
     without words. Only texts are compared, so rows without id or with repeated ids are like all others.
     """
     rows = id_and_text(docs).withColumns({"h1": F.xxhash64("text"), "h2": F.hash("text")})
-    signed = durable(rows.mapInArrow(_sign, _schema(docs, "h1 long, h2 int, key binary, empty boolean, bands array<long>")))
-    row = F.struct(F.col("doc_id").isNull().alias("anonymous"), "doc_id", "h1", "h2", "bands")
+    signed = durable(rows.mapInArrow(_sign, _schema(docs, "h1 long, h2 int, key binary, empty boolean, n long, bands array<long>")))
+    row = F.struct(F.col("doc_id").isNull().alias("anonymous"), "doc_id", "h1", "h2", "n", "bands")
     one = signed.where("not empty").groupBy("key").agg(F.min(row).alias("row"))
-    one = durable(one.select("key", F.struct("row.anonymous", "row.doc_id", "row.h1", "row.h2").alias("first"), "row.h1", "row.h2", "row.bands"))
+    one = durable(one.select("key", F.struct("row.anonymous", "row.doc_id", "row.h1", "row.h2").alias("first"), "row.h1", "row.h2", "row.n", "row.bands"))
     groups = _grouped(one.drop("first"), rows, similarity)
     rooted = durable(_rooted(one.select("key", "first"), groups))
     firsts = rooted.groupBy("root").agg(F.min("first").alias("first"))
