@@ -6,40 +6,56 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslens.llm.lines import dedup_lines
-from corpuslens.llm.minhash import near_duplicates
+from corpuslens.llm.minhash import first_copies
 from corpuslens.llm.packing import pack_documents
 from corpuslens.llm.pii import redact
 from corpuslens.llm.quality import quality_rules
+from corpuslens.llm.tables import packed_rows
 from corpuslens.session import durable
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """`docs` less the given doc_ids; the ids are stored first, so that Spark knows how many there are."""
-    return docs.join(durable(ids), "doc_id", "left_anti").select(docs.columns)
-
-
 def _recounted(docs: DataFrame) -> DataFrame:
-    """n_chars follows the text."""
-    return docs.withColumn("n_chars", F.char_length("text").cast("long"))
+    """n_chars, where there is such a column, follows the text."""
+    names = docs.columns
+    plain = docs.toDF(*(f"_{k}" for k in range(len(names))))
+    length = F.char_length(f"_{names.index('text')}").cast("long")
+    return plain.select(*((length if n == "n_chars" else F.col(f"_{k}")).alias(n) for k, n in enumerate(names)))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _without(docs, quality_rules(docs).where("not kept").select("doc_id"))
+    """Rows that the quality rules reject go, each by its own text, lang and source: doc_id may be NULL or repeated.
+
+    NULL and empty texts have no words and go. Other columns stay as they are, whatever their names.
+    """
+    names = docs.columns
+    judged = [F.coalesce(F.col("_row")[f"_{names.index(n)}"].cast("string"), F.lit("")) for n in ("lang", "source")]
+    packed, unpacked = packed_rows(docs)
+    parts = [F.coalesce("text", F.lit("")), *judged]
+    keyed = packed.withColumn("key", F.concat_ws(":", F.xxhash64(*parts), F.hash(*parts)))
+    named = keyed.select(F.col("key").alias("doc_id"), "text", judged[0].alias("lang"), judged[1].alias("source"))
+    rejected = durable(quality_rules(named).where("not kept").select(F.col("doc_id").alias("key")).distinct())
+    return unpacked(keyed.join(rejected, "key", "left_anti"))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _recounted(dedup_lines(docs).select(docs.columns))
+    """Lines found in many documents go. All rows stay; NULL texts become empty. doc_id is not looked at."""
+    packed, unpacked = packed_rows(docs)
+    return _recounted(unpacked(dedup_lines(packed)))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _without(docs, near_duplicates(docs).where("doc_id <> class_id").select("doc_id"))
+    """One row of each group of near copies stays: the one with the smallest doc_id, of equal rows any one. Rows
+    without doc_id stay if their group has no other, one of them; texts without words all stay."""
+    return first_copies(docs)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in a text is replaced by its kind in brackets. All rows stay, NULL texts too."""
     return _recounted(redact(docs))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents, with their ids, in sequences; the last stage, so its columns are its own."""
     import public_tokenizers
 
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
