@@ -2,8 +2,10 @@
 
 import random
 
+import numpy as np
 import pytest
 
+from corpuslens.llm import pieces
 from corpuslens.llm.pieces import UNIGRAM, Pieces, encode_documents
 from corpuslens.session import ship_package
 
@@ -39,6 +41,34 @@ def test_unigram_finds_the_best_of_all_segmentations():
         assert sum(ours.score[x] for x in ours.segment(t)) == pytest.approx(best(t))
 
 
+def test_texts_in_step_equal_the_library():
+    ours, theirs = Pieces(PATH), sentencepiece.SentencePieceProcessor(model_file=PATH)
+    some = texts() + ["", " ", "\ud7ff\U0010ffff x", "Привет мир, שלום", "a" * 400 + " " + "the" * 300, "ab\ncd " * 50]
+    for _ in range(2):
+        got = [np.frombuffer(x, "<i4").tolist() for x in ours.encode_all(some)]
+        assert got == theirs.encode(some)
+    assert max(map(len, ours._known)) <= pieces.LONG_STRETCH
+
+
+def test_unigram_in_step_equals_one_by_one():
+    ours = Pieces(PATH)
+    ours.kind = UNIGRAM
+    some = list({s for t in texts() for s in pieces._STRETCH.findall(t.replace(" ", pieces.SPACE))})
+    value = lambda ids: sum(ours._scores[ids])
+    for s, raw in zip(some, ours._segment_all(some), strict=True):
+        ids, alone = np.frombuffer(raw, "<i4"), np.frombuffer(ours._ids(ours.segment(s)), "<i4")
+        assert value(ids) == pytest.approx(value(alone)) and ours.decode(ids.tolist()) == ours.decode(alone.tolist())
+
+
+def test_oldest_stretches_are_forgotten(monkeypatch):
+    monkeypatch.setattr(pieces, "CACHE_ENTRIES", 10)
+    monkeypatch.setattr(pieces, "PAIR_BITS", 3)
+    ours, theirs = Pieces(PATH), sentencepiece.SentencePieceProcessor(model_file=PATH)
+    for t in texts(60):
+        assert ours.encode(t) == theirs.encode(t)
+    assert len(ours._known) < 100
+
+
 def test_documents(spark):
     ship_package(spark)
     table = spark.createDataFrame([(0, None, 1), (1, "", 2), (2, "a  b\n", 3), (2, "a  b\n", 3)], "doc_id long, text string, ids int")
