@@ -2,8 +2,8 @@
 
 A file is a Parquet file whose rows are segments; a segment image is self-contained:
 
-    "PFR1" | ids u64 | documents u32 | blocks u32 | doc_id i64 x documents | ids per document u32 x documents
-    | block start u32 x (blocks + 1) | blocks
+    "PFR2" | ids u64 | documents u32 | blocks u32 | documents without doc_id u32, which come first
+    | doc_id i64 x documents | ids per document u32 x documents | block start u32 x (blocks + 1) | blocks
 
 and a block of up to BLOCK ids is
 
@@ -31,7 +31,7 @@ from corpuslens.session import durable, scratch_path
 BLOCK = 128
 PERCENTILE = 90
 END_ID = 0
-_HEAD = struct.Struct("<4sQII")
+_HEAD = struct.Struct("<4sQIII")
 _BLOCK_HEAD = np.dtype([("low", "<u4"), ("count", "<u2"), ("width", "u1"), ("exceptions", "u1")])
 
 
@@ -39,8 +39,8 @@ def _bit_length(x: np.ndarray) -> np.ndarray:
     return np.ceil(np.log2(x.astype(np.float64) + 1)).astype(np.int64)
 
 
-def encode_segment(doc_ids: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> bytes:
-    """The image of documents with the given ids and numbers of token ids."""
+def encode_segment(doc_ids: np.ndarray, sizes: np.ndarray, ids: np.ndarray, unnamed: int = 0) -> bytes:
+    """The image of documents with the given ids and numbers of token ids; the first `unnamed` ones have no id."""
     blocks = -(-len(ids) // BLOCK)
     padded = np.empty(blocks * BLOCK, np.uint32)
     padded[: len(ids)] = ids
@@ -77,26 +77,26 @@ def encode_segment(doc_ids: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> b
     ]
     starts = np.concatenate([[0], np.cumsum([len(x) for x in body], dtype=np.int64)]).astype("<u4")
     return b"".join([
-        _HEAD.pack(b"PFR1", len(ids), len(doc_ids), blocks), doc_ids.astype("<i8").tobytes(),
+        _HEAD.pack(b"PFR2", len(ids), len(doc_ids), blocks, unnamed), doc_ids.astype("<i8").tobytes(),
         sizes.astype("<u4").tobytes(), starts.tobytes(), *body,
     ])
 
 
-def _layout(image: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """(doc_ids, sizes, block starts, where the blocks begin)."""
-    magic, _, docs, blocks = _HEAD.unpack_from(image)
-    if magic != b"PFR1":
+def _layout(image: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, int, int]:
+    """(doc_ids, sizes, block starts, where the blocks begin, documents without id)."""
+    magic, _, docs, blocks, unnamed = _HEAD.unpack_from(image)
+    if magic != b"PFR2":
         raise ValueError("not a segment of token ids")
     at = _HEAD.size
     doc_ids = np.frombuffer(image, "<i8", docs, at)
     sizes = np.frombuffer(image, "<u4", docs, at + 8 * docs)
     starts = np.frombuffer(image, "<u4", blocks + 1, at + 12 * docs)
-    return doc_ids, sizes, starts, at + 12 * docs + 4 * (blocks + 1)
+    return doc_ids, sizes, starts, at + 12 * docs + 4 * (blocks + 1), unnamed
 
 
 def read_blocks(image: bytes, first: int = 0, last: int | None = None) -> np.ndarray:
     """The ids of blocks first..last-1, found by the index; the others are not touched."""
-    _, _, starts, origin = _layout(image)
+    _, _, starts, origin, _ = _layout(image)
     last = len(starts) - 1 if last is None else min(last, len(starts) - 1)
     data = np.frombuffer(image, np.uint8)
     at = starts[first:last].astype(np.int64) + origin
@@ -128,8 +128,10 @@ def read_blocks(image: bytes, first: int = 0, last: int | None = None) -> np.nda
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> None:
     """Encode every whole text, append `end_id`, and write segments in ascending doc_id order below `path`.
 
-    NULL and empty texts have the end id alone; repeated ids stay next to each other; rows without doc_id cannot be
-    addressed in the file and raise an error. Other columns are ignored.
+    NULL and empty texts have the end id alone. Rows without doc_id, or with one that is no 64-bit integer, come first
+    and have no id in the file. Rows of one id are ordered by a hash of the text, equal rows by their place in `docs`,
+    so that one frequent id is dealt to many tasks; `docs` must therefore be a stored table or another one whose rows
+    come in the same order whenever a task runs again. Other columns are ignored.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,23 +139,25 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
         nth = 0
         for batch in batches:
             texts = batch.column("text").fill_null("")
-            if batch.column("doc_id").null_count:
-                raise ValueError("doc_id is NULL")
-            numbers = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
+            named = batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
+            numbers = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False)
             for i, j in slices(text_buffers(texts)[1], 1_000_000):
                 ids, at = encode_texts(texts.slice(i, j - i).to_pylist())
                 full = np.full(len(ids) + j - i, end_id, np.uint32)
                 full[np.arange(len(ids)) + np.repeat(np.arange(j - i), np.diff(at))] = ids
-                image = encode_segment(numbers[i:j], np.diff(at) + 1, full)
+                image = encode_segment(numbers[i:j], np.diff(at) + 1, full, int((~named[i:j]).sum()))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([numbers[i]]), pa.array([nth]), pa.array([len(full)]), pa.array([image], pa.large_binary())],
+                    [pa.array([int(numbers[i]) if named[i] else None], pa.int64()), pa.array([nth]), pa.array([len(full)]), pa.array([image], pa.large_binary())],
                     names=["first_doc", "segment", "n_ids", "image"],
                 )
                 nth += 1
 
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = id_and_text(docs).repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id")
-    segments = ordered.mapInArrow(encode, "first_doc long, segment long, n_ids long, image binary")
+    order = ["doc_id", "_tie", "_place"]
+    rows = id_and_text(docs).select(F.col("doc_id").try_cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("_tie"),
+                                    F.monotonically_increasing_id().alias("_place"))
+    ordered = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    segments = ordered.select("doc_id", "text").mapInArrow(encode, "first_doc long, segment long, n_ids long, image binary")
     segments.withColumn("shard", F.spark_partition_id().cast("long")).write.option("compression", "none").parquet(path)
 
 
@@ -173,12 +177,12 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for image, start in zip(batch.column("image"), batch.column("start").to_pylist(), strict=True):
                 raw = image.as_py()
-                doc_ids, sizes, _, _ = _layout(raw)
+                doc_ids, sizes, _, _, unnamed = _layout(raw)
                 ids = read_blocks(raw).astype("<u4")
                 ends = np.cumsum(sizes.astype(np.int64))
                 begin = ends - sizes
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc_ids), pa.array(begin + start), pa.array(sizes.astype(np.int64)),
+                    [pa.array(doc_ids, mask=np.arange(len(doc_ids)) < unnamed), pa.array(begin + start), pa.array(sizes.astype(np.int64)),
                      pa.array([ids[a:b].tobytes() for a, b in zip(begin, ends, strict=True)], pa.binary())],
                     names=["doc_id", "start", "n_tokens", "ids"],
                 )

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
+from itertools import islice
 
 import numpy as np
 
@@ -28,6 +30,7 @@ _LATIN_SPACED = re.compile(
 _OTHER_SPACE = [(0x1C, 0x1F), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x180E, 0x180E), (0x2000, 0x200F),
                 (0x2028, 0x202F), (0x205F, 0x206F), (0x3000, 0x3000), (0xFEFF, 0xFEFF)]
 _WHOLE = re.compile("<\\||[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in _OTHER_SPACE) + "]")
+_ASCII_WHOLE = ["<|", "\x1c", "\x1d", "\x1e", "\x1f"]
 
 
 class Encoder:
@@ -39,62 +42,40 @@ class Encoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._keep_space = keep_space
-        self._forget()
-
-    def _forget(self) -> None:
-        self._index: dict[str, int] = {}
-        self._ids = np.zeros(1 << 16, np.uint32)
-        self._start = np.zeros(1 << 16, np.int64)
-        self._size = np.zeros(1 << 16, np.int64)
-        self._used = 0
+        self._known: dict[str, bytes] = {}
 
     def _learn(self, stretches: list[str]) -> None:
         for e in range(0, len(stretches), 20_000):
             part = stretches[e : e + 20_000]
-            found = [x.ids for x in self._tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter((i for x in found for i in x), np.uint32, int(sizes.sum()))
-            n, k = len(self._index), self._used
-            while len(self._start) < n + len(part):
-                self._start, self._size = np.resize(self._start, 2 * n + len(part)), np.resize(self._size, 2 * n + len(part))
-            if len(self._ids) < k + len(flat):
-                self._ids = np.resize(self._ids, 2 * (k + len(flat)))
-            self._ids[k : k + len(flat)] = flat
-            self._size[n : n + len(part)] = sizes
-            self._start[n : n + len(part)] = k + np.cumsum(sizes) - sizes
-            self._used = k + len(flat)
-            self._index.update(zip(part, range(n, n + len(part)), strict=True))
+            found = self._tokenizer.encode_batch_fast(part, add_special_tokens=False)
+            self._known.update((s, array("I", x.ids).tobytes()) for s, x in zip(part, found, strict=True))
 
     def _split(self, text: str) -> list[str]:
-        if _WHOLE.search(text):
+        ascii_only = text.isascii()
+        if any(x in text for x in _ASCII_WHOLE) if ascii_only else _WHOLE.search(text):
             return [text]
-        latin = text.isascii() or _LATIN.fullmatch(text)
+        latin = ascii_only or _LATIN.fullmatch(text)
         if self._keep_space:
             return (_LATIN_SPACED if latin else _WORD_OR_SPACE).findall(text)
         return _LATIN_WORD.findall(text.lower()) if latin else _WORD.findall(text)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, where each text begins and the end)."""
-        if len(self._index) > CACHE_ENTRIES:
-            self._forget()
+        if len(self._known) > CACHE_ENTRIES:
+            for s in list(islice(self._known, len(self._known) // 2)):
+                del self._known[s]
         split = [self._split(t) for t in texts]
-        counts = np.fromiter(map(len, split), np.int64, len(split))
-        stretches = [s for part in split for s in part]
-        new = set(stretches) - self._index.keys()
-        if new:
-            self._learn(list(new))
-        at = np.fromiter(map(self._index.__getitem__, stretches), np.int64, len(stretches))
-        sizes = self._size[at]
-        ends = np.concatenate([[0], np.cumsum(sizes)])
-        take = np.arange(ends[-1]) + np.repeat(self._start[at] - ends[:-1], sizes)
-        return self._ids[take], ends[np.concatenate([[0], np.cumsum(counts)])]
+        self._learn(list(set().union(*split) - self._known.keys()))
+        known = self._known.__getitem__
+        raw = [b"".join(map(known, part)) for part in split]
+        return np.frombuffer(b"".join(raw), np.uint32), np.cumsum([0, *map(len, raw)]) // 4
 
 
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
 def encoder(path: str, keep_space: bool) -> Encoder:
-    """One encoder for each Python worker; its cache is bounded by CACHE_ENTRIES and one slice of texts."""
+    """One encoder for each Python worker; its cache is bounded by CACHE_ENTRIES and one slice of texts, the oldest half goes first."""
     if (path, keep_space) not in _ENCODERS:
         _ENCODERS[path, keep_space] = Encoder(path, keep_space)
     return _ENCODERS[path, keep_space]

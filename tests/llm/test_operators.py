@@ -203,6 +203,26 @@ def test_token_files(spark, docs, none, tmp_path):
     assert binary.read_tokens(spark, str(tmp_path / "b")).count() == 0
 
 
+def test_token_files_with_missing_and_repeated_ids(spark, docs, tmp_path):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rows = [(None, "b"), (3, None), ("x1", "a"), ("7", "c d"), ("3", "e")] + [("5", "same")] * 200 + [("5", f"other {i}") for i in range(50)]
+    table = spark.createDataFrame([(None if i is None else str(i), t) for i, t in rows], "doc_id string, text string").repartition(4)
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        binary.write_tokens(table.coalesce(1), str(tmp_path / "a"), path)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
+    got = sorted(binary.read_tokens(spark, str(tmp_path / "a")).collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in got] == [None, None, 3, 3, *[5] * 250, 7]
+    assert [r["start"] for r in got] == np.cumsum([0, *(r["n_tokens"] for r in got)])[:-1].tolist()
+    encode = encoding.encoder(path, True).encode
+    ids = lambda t: np.append(encode([t or ""])[0], 0).astype("<u4").tobytes()
+    assert Counter(bytes(r["ids"]) for r in got) == Counter(ids(t) for _, t in rows)
+    shards = spark.read.parquet(str(tmp_path / "a")).where("first_doc = 5").select("shard").distinct().count()
+    assert shards > 3
+
+
 def test_blocks_hold_any_ids():
     rng = np.random.default_rng(2)
     for n in (0, 1, 127, 128, 129, 5000):
