@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.corpus import COUNTS, CTFIDF, STOP_WORDS, corpus, keyword_rows, text_corpus, token_rows, vectors, with_sql
 from checks.registry import check
-from checks.text import COUNTED
+from checks.text import COUNTED, NGRAMS
 from corpuslens.operators import keywords as k
 from corpuslens.operators import labels as lb
 from corpuslens.operators import vectors as v
@@ -58,6 +58,14 @@ def ctfidf_topn(spark, sf):
     return w.ctfidf_topn(weights(spark, sf)).withColumn("score", F.round("score", 6))
 
 
+@check("heaviest_ngrams", with_sql("""SELECT topic, term, tf, round(score, 6) AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY topic ORDER BY round(score, 9) DESC, term) AS rank FROM weights WHERE topic <> -1)
+  WHERE rank <= 100""", tok=NGRAMS, counts=COUNTS, weights=CTFIDF))
+def heaviest_ngrams(spark, sf):
+    docs = text_corpus(spark, sf)
+    return w.heaviest_ngrams(docs, stop_words=STOP_WORDS).withColumn("score", F.round("score", 6))
+
+
 @check("guided_terms", with_sql("""SELECT topic, term, round(CASE WHEN term IN (SELECT lower(lang) FROM documents) THEN 1.2 ELSE 1.0 END * score, 6) AS score
   FROM weights""", **TERM_CTES))
 def guided_terms(spark, sf):

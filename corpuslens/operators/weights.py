@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuslens.functions import text as tx
@@ -67,6 +67,70 @@ def ctfidf_topn(weights: DataFrame, n: int = TOP_N) -> DataFrame:
     return top.select("topic", "rank", "term", "score")
 
 
+def heaviest_ngrams(
+    docs: DataFrame,
+    text: str = "abstract",
+    stop_words: Sequence[str] | str | None = None,
+    ngrams: tuple[int, int] = (1, 3),
+    n: int = 100,
+) -> DataFrame:
+    """The `n` heaviest n-grams of every topic, see `heaviest_runs`; NULL and empty texts have no words."""
+    return heaviest_runs(durable(stored_words(docs.select("topic", text), text, stop_words)), ngrams, n)
+
+
+def stored_words(docs: DataFrame, text: str, stop_words: Sequence[str] | str | None) -> DataFrame:
+    """The other columns of `docs` and `_words`, the array of its tokens."""
+    tokens = F.coalesce(tx.tokens(F.col(text), stop_words), F.array().cast("array<string>"))
+    return docs.withColumn("_words", tokens).drop(text)
+
+
+def heaviest_runs(words: DataFrame, ngrams: tuple[int, int] = (1, 3), n: int = 100) -> DataFrame:
+    """(topic, term, tf, score): the `n` heaviest n-grams of every topic, the outlier class left out.
+
+    The same rows as the first `n` of `ctfidf(term_counts(...))` by falling score and term, but counted level by level.
+    `words` is a stored table of topic and _words.
+    An n-gram is never more frequent than its head and its tail, and f(t) is at least tf(t, c), so tf / words *
+    ln(1 + A / tf) of a part bounds the score of all that holds it. Longer n-grams are counted only where both parts can
+    still reach some topic's n-th score so far. By that bound a topic has at most ln(1 + A) / its n-th score such parts
+    of a size, whatever the size of the corpus, so they are looked up where the texts are.
+
+    A topic without words has no rows. Topics with fewer than `n` n-grams keep all, and leave out none of the parts.
+    """
+    smallest, largest = ngrams
+    runs = sum(F.greatest(F.size("_words") - (size - 1), F.lit(0)) for size in range(smallest, largest + 1))
+    totals = durable(words.groupBy("topic").agg(F.sum(runs).alias("_total")).where(F.col("_total") > 0))
+    average = F.lit(totals.agg(F.floor(F.avg("_total")).cast("double")).first()[0])
+    known = small_side(totals)
+    order = [F.round("score", TIE_DIGITS).desc(), F.col("term")]
+
+    def scored(counts: DataFrame, frequency: Column) -> DataFrame:
+        weight = F.col("tf") / F.col("_total") * F.log(1 + average / frequency)
+        return counts.join(known, "topic").withColumn("score", weight).where(F.col("topic") != OUTLIER)
+
+    def reaching(counts: DataFrame, best: DataFrame) -> DataFrame:
+        """Counts whose bound is not below the n-th score; its column `score` holds the bound."""
+        least = best.where(F.col("rank") == n).select("topic", F.round("score", TIE_DIGITS).alias("_least"))
+        bounded = scored(counts.select("topic", "term", "tf"), F.col("tf")).join(small_side(least), "topic", "left")
+        # Scores are compared as rounded, so the bound gets the width of one rounding.
+        return bounded.where(F.col("_least").isNull() | (F.col("score") + 10.0**-TIE_DIGITS >= F.col("_least"))).select("topic", "term", "tf")
+
+    best = counts = None
+    for size in range(smallest, largest + 1):
+        rows = words.select("topic", F.explode(tx.word_ngrams("_words", size, size)).alias("term"))
+        if best is not None:
+            live = small_side(durable(reaching(counts, best).select("term").distinct()))
+            parts = {"_head": F.substring_index("term", " ", size - 1), "_tail": F.substring_index("term", " ", 1 - size)}
+            for name, part in parts.items():
+                rows = rows.withColumn(name, part).join(live.withColumnRenamed("term", name), name, "left_semi")
+        counts = durable(rows.groupBy("topic", "term").agg(F.count(F.lit(1)).alias("tf")))
+        frequency = counts.groupBy("term").agg(F.sum("tf").alias("_f"))
+        candidates = counts if best is None else reaching(counts, best)
+        found = scored(candidates.join(frequency, "term"), F.col("_f")).select("topic", "term", "tf", "score")
+        pool = found if best is None else found.unionByName(best.drop("rank"))
+        best = durable(top_n_per_group(pool, "topic", order, n))
+    return best.select("topic", "term", "tf", "score")
+
+
 def reassign_outliers(
     docs: DataFrame,
     weights: DataFrame,

@@ -55,6 +55,25 @@ def test_ctfidf_formula_and_seeds(spark):
     assert seeded[1, "bb"] == pytest.approx(1.2 * got[1, "bb"]) and seeded[0, "aa"] == pytest.approx(got[0, "aa"])
 
 
+@pytest.mark.parametrize(("ngrams", "n"), [((1, 3), 5), ((2, 4), 40)])
+def test_heaviest_ngrams_are_those_of_a_full_count(spark, ngrams, n):
+    rng = np.random.default_rng(4)
+    words = [f"w{i:02d}" for i in range(60)]
+
+    def text(topic):
+        share = 1.0 / (1 + (np.arange(60) + 11 * topic) % 60)
+        return " ".join(rng.choice(words, rng.integers(0, 40), p=share / share.sum()))
+
+    rows = [(t, text(t)) for t in range(-1, 5) for _ in range(30)] + [(7, "w01 w02"), (8, ""), (9, None), (7, "w01 w02")]
+    docs = spark.createDataFrame(rows, "topic int, abstract string")
+    full = w.ctfidf(w.term_counts(docs, ngrams=ngrams)).where("topic <> -1")
+    want = k.top_n_per_group(full, "topic", [F.round("score", 9).desc(), F.col("term")], n).select("topic", "term", "tf", "score")
+    got = w.heaviest_ngrams(docs, ngrams=ngrams, n=n)
+    key = lambda table: sorted((x.topic, x.term, x.tf, round(x.score, 12)) for x in table.collect())
+    assert key(got) == key(want)
+    assert w.heaviest_ngrams(docs.limit(0), ngrams=ngrams, n=n).count() == 0
+
+
 def test_outliers_move_to_the_most_similar_topic(spark):
     docs = spark.createDataFrame([
         (1, 0, "fish river water"), (2, 1, "star moon orbit"), (3, -1, "moon star fish"), (4, -1, "nothing shared"), (5, -1, ""),
