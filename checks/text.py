@@ -83,7 +83,7 @@ NGRAMS = f"""SELECT doc_id, topic, unnest(list_concat(t,
 
 @check("ngrams_1_3", with_sql("SELECT doc_id, term, count(*) AS tf FROM grams GROUP BY doc_id, term", grams=NGRAMS))
 def ngrams_1_3(spark, sf):
-    return d.document_ngrams(corpus(spark, sf), stop_words=STOP_WORDS)
+    return d.document_ngrams(text_corpus(spark, sf), stop_words=STOP_WORDS)
 
 
 @check("labeled_docs", with_sql("SELECT c.doc_id, c.year, c.title, e.label AS topic FROM corpus c JOIN embeddings e ON e.vec_id = c.doc_id"))

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from corpuslens.functions import text as tx
 from corpuslens.functions.numeric import plain_double
-from corpuslens.session import small_side
+from corpuslens.session import durable, small_side
 
 _MAX_INT = 2147483647
 
@@ -68,14 +68,29 @@ def document_ngrams(
 ) -> DataFrame:
     """(doc_id, term, tf): word n-grams of every document with their frequency.
 
-    The texts are partitioned by document, so that their many more n-grams need no shuffle.
+    Each text is counted by itself, where it is: its n-grams are sorted and equal ones stand together. Only texts that
+    share their id with others (NULL is one id) have their counts shuffled and added up.
     """
-    placed = docs.select("doc_id", F.col(text).alias("_text")).repartition("doc_id")
-    words = placed.select("doc_id", tx.tokens(F.col("_text"), stop_words).alias("_words"))
-    grams = tx.word_ngrams("_words", smallest, largest)
-    return words.select("doc_id", F.explode(grams).alias("term")).groupBy("doc_id", "term").agg(
-        F.count(F.lit(1)).alias("tf")
-    )
+    rows = docs.select("doc_id", F.col(text).alias("_text"))
+    shared = durable(rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1 or doc_id is null").select(F.col("doc_id").alias("_id")))
+    each = lambda part: _text_ngrams(part, stop_words, smallest, largest)
+    if shared.isEmpty():
+        return each(rows)
+    known, same = small_side(shared), F.col("doc_id").eqNullSafe(F.col("_id"))
+    added = each(rows.join(known, same, "left_semi")).groupBy("doc_id", "term").agg(F.sum("tf").alias("tf"))
+    return each(rows.join(known, same, "left_anti")).unionByName(added)
+
+
+def _text_ngrams(rows: DataFrame, stop_words: Sequence[str] | str | None, smallest: int, largest: int) -> DataFrame:
+    """(doc_id, term, tf) of each row (doc_id, _text) by itself."""
+    words = rows.select("doc_id", tx.tokens(F.col("_text"), stop_words).alias("_words"))
+    ordered = words.select("doc_id", F.sort_array(tx.word_ngrams("_words", smallest, largest)).alias("_sorted"))
+    places = F.when(F.size("_sorted") > 0, F.sequence(F.lit(0), F.size("_sorted") - 1))
+    starts = F.filter(places, lambda i: (i == 0) | (F.get("_sorted", i) != F.get("_sorted", i - 1)))
+    runs = F.transform("_starts", lambda i, k: F.struct(
+        F.get("_sorted", i).alias("term"), (F.coalesce(F.get("_starts", k + 1), F.size("_sorted")) - i).cast("long").alias("tf"),
+    ))
+    return ordered.withColumn("_starts", starts).select("doc_id", F.inline(runs))
 
 
 def document_keywords(docs: DataFrame, column: str = "author_keywords") -> DataFrame:

@@ -1,3 +1,5 @@
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,3 +75,17 @@ def test_stop_word_settings(spark):
     assert words(["moon"]) == ["the", "tide", "and", "the"]
     with pytest.raises(ValueError, match="german"):
         words("german")
+
+
+def test_ngrams_are_counted_in_their_row_unless_ids_are_shared(spark):
+    texts = [(4, "oak elm oak elm oak"), (9, "fig"), (2, "elm oak"), (4, "oak elm"), (None, "fig fig"), (None, "fig"), (7, None), (8, "x")]
+    found = d.document_ngrams(spark.createDataFrame(texts, "doc_id long, abstract string"), smallest=1, largest=2).collect()
+    wanted = Counter()
+    for doc_id, text in texts:
+        words = [w for w in (text or "").split() if len(w) > 1]
+        wanted.update((doc_id, w) for w in words)
+        wanted.update((doc_id, " ".join(p)) for p in zip(words, words[1:], strict=False))
+    assert {(r.doc_id, r.term): r.tf for r in found} == wanted and len(found) == len(wanted)
+    # Without shared ids nothing is aggregated, so nothing is spilled.
+    alone = d.document_ngrams(spark.createDataFrame(texts[:3], "doc_id long, abstract string"))
+    assert "Aggregate" not in alone._jdf.queryExecution().executedPlan().toString()
