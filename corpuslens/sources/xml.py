@@ -10,7 +10,9 @@ from collections.abc import Callable, Iterator
 from xml.etree.ElementTree import Element, TreeBuilder
 from xml.parsers import expat
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +22,7 @@ from corpuslens.sources.files import ORIGIN, origin_columns
 
 _CITATION = "pmid string, year string, medline string, title string, labels array<string>, bodies array<string>, keywords array<string>, mesh array<string>"
 _ENTRY = "title string, abstract string, year string, terms array<string>"
+PORTION_BYTES = 2_000_000
 
 
 def _root(xml: str) -> Element:
@@ -58,22 +61,32 @@ def _entry(record: Element) -> dict:
     }
 
 
+def _portions(batch: pa.RecordBatch, xml: str) -> Iterator[pa.RecordBatch]:
+    """Slices of some PORTION_BYTES of XML. A batch has a number of rows, so it grows with the length of the records."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(xml)), 0).to_numpy().astype(np.int64)
+    cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // PORTION_BYTES)) + 1
+    edges = [0, *cuts.tolist(), batch.num_rows]
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        yield batch.slice(a, b - a)
+
+
 def _parsed(records: DataFrame, xml: str, read: Callable[[Element], dict | None], fields: str) -> DataFrame:
     """`records` with the struct `_found` of what `read` takes from a record (NULL: skipped) and `_error`, why it has no tree."""
 
+    arrow = pa.struct([(f.split(" ")[0], pa.list_(pa.string()) if "array" in f else pa.string()) for f in fields.split(", ")])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for portion in (p for batch in batches for p in _portions(batch, xml)):
             found, errors = [], []
-            for text in batch.column(xml).to_pylist():
+            for text in portion.column(xml):
                 try:
-                    found.append(None if text is None else read(_root(text)))
+                    found.append(read(_root(text.as_py())) if text.is_valid else None)
                     errors.append(None)
                 except expat.ExpatError as error:
                     found.append(None)
                     errors.append(str(error))
-            arrow = pa.struct([(f.split(" ")[0], pa.list_(pa.string()) if "array" in f else pa.string()) for f in fields.split(", ")])
-            columns = [*batch.columns, pa.array(found, arrow), pa.array(errors, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "_found", "_error"])
+            columns = [*portion.columns, pa.array(found, arrow), pa.array(errors, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, [*portion.schema.names, "_found", "_error"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in records.schema.fields)
     struct = ",".join(f.replace(" ", ":", 1) for f in fields.split(", "))

@@ -160,3 +160,18 @@ def test_embeddings_of_mixed_dimension_fail(spark):
     df = spark.createDataFrame([(1, [1.0]), (2, [1.0, 2.0])], "doc_id long, embedding array<float>")
     with pytest.raises(ValueError, match="dimension"):
         sources.load_embeddings(df)
+
+
+def test_records_are_parsed_in_portions_of_their_bytes(monkeypatch):
+    import pyarrow as pa
+
+    from corpuslens.sources import xml
+
+    monkeypatch.setattr(xml, "PORTION_BYTES", 100)
+    texts = ["<e/>" * 20, None, "<e/>", "<e/>" * 90, "<e/>", "", "<e/>" * 24, "<e/>"]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(8)), "value": pa.array(texts)})
+    parts = list(xml._portions(batch, "value"))
+    assert pa.Table.from_batches(parts).to_pylist() == batch.to_pylist()
+    sizes = [[len(t or "") for t in p.column("value").to_pylist()] for p in parts]
+    assert len(parts) > 2 and all(sum(s) - max(s) <= 100 for s in sizes)
+    assert [p.num_rows for p in xml._portions(batch.slice(0, 0), "value")] == [0]
