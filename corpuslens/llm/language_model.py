@@ -51,21 +51,31 @@ def held_out(doc_id: object) -> bool:
 
 def _chunk(data: np.ndarray, offsets: np.ndarray, held: np.ndarray, buckets: int) -> dict:
     """The (word, context) pairs of some texts: their training counts by bucket of words, and the texts as pairs."""
+    # A slice has millions of tokens: classes are bytes, and what is done with goes before the sorts.
     words = Words(data, offsets, lower=True)
     texts, counts = len(offsets) - 1, words.counts()
-    owner = words.texts()
-    place = np.arange(len(owner)) + owner  # one end after each text before
-    token = np.full(len(owner) + texts, _END, np.uint64)
+    tokens = len(words.start) + texts
+    place = np.arange(len(words.start))
+    place += words.texts()  # one end after each text before
+    token = np.full(tokens, _END, np.uint64)
     token[place] = words.hashes()
-    last = words.data[words.stop - 1].astype(np.int64)
-    second = np.where(words.stop - words.start > 1, words.data[np.maximum(words.stop - 2, 0)], 0).astype(np.int64)
-    ending = np.zeros(len(token), np.int64)
-    ending[place] = 1 + (mix((last * 256 + second).astype(np.uint64)) % np.uint64(CONTEXTS - 1)).astype(np.int64)
-    context = np.zeros(len(token), np.int64)
+    code = words.data[words.stop - 1].astype(np.uint64) * np.uint64(256)
+    code += np.where(words.stop - words.start > 1, words.data[np.maximum(words.stop - 2, 0)], 0).astype(np.uint64)
+    del words
+    ending = np.zeros(tokens, np.uint8)
+    ending[place] = 1 + mix(code) % np.uint64(CONTEXTS - 1)
+    del code, place
+    context = np.zeros(tokens, np.uint8)
     context[1:] = ending[:-1]  # an end has no ending, so the next text starts in context 0
+    del ending
     sizes = counts + 1
     vocabulary, word = np.unique(token, return_inverse=True)
-    pair, seq = np.unique(word * CONTEXTS + context, return_inverse=True)
+    del token
+    word *= CONTEXTS
+    word += context
+    del context
+    pair, seq = np.unique(word, return_inverse=True)
+    del word
     train = np.repeat(~held, sizes)
     seen = np.bincount(seq[train], minlength=len(pair))
     per_word = np.bincount(pair // CONTEXTS, minlength=len(vocabulary))
