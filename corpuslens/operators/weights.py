@@ -15,11 +15,13 @@ from corpuslens.functions import text as tx
 from corpuslens.operators.documents import document_ngrams
 from corpuslens.operators.keywords import TOP_N, top_n_per_group
 from corpuslens.schema import OUTLIER
-from corpuslens.session import BROADCAST_ROWS, durable, salted_join, small_side
+from corpuslens.session import BROADCAST_ROWS, durable, shuffled, small_side
 
 TIE_DIGITS = 9
 SEED_FACTOR = 1.2
-HOT_TERMS = 10_000
+#: Words times topics in a lane of documents, and in one of the parts its terms are dealt into.
+PAIRS_PER_LANE = 48_000_000
+PAIRS_PER_PART = 4_000_000
 
 
 def term_counts(
@@ -131,12 +133,39 @@ def heaviest_runs(words: DataFrame, ngrams: tuple[int, int] = (1, 3), n: int = 1
     return best.select("topic", "term", "tf", "score")
 
 
+def matched_terms(doc_terms: DataFrame, weights: DataFrame, lanes: int, lookup_terms: int) -> DataFrame:
+    """`doc_terms` (doc_id, term, tf) with the idf of the term and `_topics`, its weights in the topics.
+
+    Where terms are joined, a task sums up by document and topic, so it must not meet all documents: these are dealt
+    into lanes, more of them the more words times topics there are, and a lane's terms into parts. A part gets the weights
+    of the terms it has, so all of this grows as the words do.
+    """
+    spoken = F.col("topic") == OUTLIER
+    packed = durable(weights.groupBy("term").agg(
+        F.first("idf").alias("idf"), F.collect_list(F.when(~spoken, F.struct("topic", "score"))).alias("_topics"), F.sum(F.when(spoken, F.col("tf"))).alias("_spoken")
+    ).where(F.size("_topics") > 0))
+    terms, pairs = packed.agg(F.count(F.lit(1)), F.sum(F.col("_spoken") * F.size("_topics"))).first()
+    packed = packed.drop("_spoken")
+    if terms <= lookup_terms:
+        return doc_terms.join(F.broadcast(packed), "term")
+    lanes = max(lanes, -(-(pairs or 0) // PAIRS_PER_LANE))
+    parts = PAIRS_PER_LANE // PAIRS_PER_PART
+    lane, part = (F.pmod(F.xxhash64(c), F.lit(n)) for c, n in (("doc_id", lanes), ("term", parts)))
+    dealt = durable(doc_terms.withColumn("_part", lane * parts + part))
+    there = packed.join(shuffled(dealt.select("_part", "term").distinct()), "term")
+    both = there.unionByName(dealt, allowMissingColumns=True).repartition(lanes * parts, "_part")
+    # Each term's weights come first in its part; the rows after it are documents.
+    first = Window.partitionBy("_part", "term").orderBy(F.col("_topics").isNull()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    given = {c: F.first(c, ignorenulls=True).over(first) for c in ("idf", "_topics")}
+    return both.withColumns(given).where(F.col("tf").isNotNull() & F.col("_topics").isNotNull()).select("doc_id", "term", "tf", "idf", "_topics")
+
+
 def reassign_outliers(
     docs: DataFrame,
     weights: DataFrame,
     text: str = "abstract",
     stop_words: Sequence[str] | str | None = None,
-    salts: int = 64,
+    salts: int = 1,
     lookup_terms: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """(doc_id, topic): outliers move to the topic with the most similar term weights.
@@ -145,23 +174,13 @@ def reassign_outliers(
     shares no term with any topic stays an outlier, and all other documents keep their topic.
 
     A vocabulary of at most `lookup_terms` terms is looked up where the documents are. A larger
-    one is joined on the term, with the frequent terms salted: a term is frequent if it makes up
-    more than 1 / HOT_TERMS of the outliers' words, so there are fewer than HOT_TERMS of them.
+    one is joined on the term, the documents in at least `salts` lanes; see `matched_terms`.
     """
     weights = durable(weights)
     in_topics = weights.where(F.col("topic") != OUTLIER)
     topic_norms = in_topics.groupBy("topic").agg(F.sqrt(F.sum(F.col("score") * F.col("score"))).alias("_topic_norm"))
-    packed = durable(in_topics.groupBy("term").agg(
-        F.first("idf").alias("idf"), F.collect_list(F.struct("topic", "score")).alias("_topics")
-    ))
     doc_terms = document_ngrams(docs.where(F.col("topic") == OUTLIER), text, stop_words, 1, 1)
-    if packed.count() <= lookup_terms:
-        matched = doc_terms.join(F.broadcast(packed), "term")
-    else:
-        spoken = weights.where(F.col("topic") == OUTLIER)
-        words = spoken.agg(F.sum("tf")).first()[0] or 0
-        hot = spoken.where(F.col("tf") * HOT_TERMS > words).select("term")
-        matched = salted_join(doc_terms, packed, "term", hot, "doc_id", salts)
+    matched = matched_terms(doc_terms, weights, salts, lookup_terms)
     # The document's own norm is the same for all its topics and cannot change the choice.
     dots = (
         matched.select("doc_id", (F.col("tf") * F.col("idf")).alias("_w"), F.inline("_topics"))
