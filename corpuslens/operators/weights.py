@@ -133,12 +133,13 @@ def heaviest_runs(words: DataFrame, ngrams: tuple[int, int] = (1, 3), n: int = 1
     return best.select("topic", "term", "tf", "score")
 
 
-def matched_terms(doc_terms: DataFrame, weights: DataFrame, lanes: int, lookup_terms: int) -> DataFrame:
-    """`doc_terms` (doc_id, term, tf) with the idf of the term and `_topics`, its weights in the topics.
+def matched_terms(outliers: DataFrame, weights: DataFrame, text: str, stop_words: Sequence[str] | str | None, lanes: int, lookup_terms: int) -> DataFrame:
+    """(doc_id, term, tf, idf, _topics): the terms of `outliers` that topics have, with their weights in these.
 
     Where terms are joined, a task sums up by document and topic, so it must not meet all documents: these are dealt
     into lanes, more of them the more words times topics there are, and a lane's terms into parts. A part gets the weights
-    of the terms it has, so all of this grows as the words do.
+    of the terms it has, so all of this grows as the words do. Texts are dealt before they are split into terms, which
+    keeps the rows that a task makes of them few.
     """
     spoken = F.col("topic") == OUTLIER
     packed = durable(weights.groupBy("term").agg(
@@ -147,11 +148,12 @@ def matched_terms(doc_terms: DataFrame, weights: DataFrame, lanes: int, lookup_t
     terms, pairs = packed.agg(F.count(F.lit(1)), F.sum(F.col("_spoken") * F.size("_topics"))).first()
     packed = packed.drop("_spoken")
     if terms <= lookup_terms:
-        return doc_terms.join(F.broadcast(packed), "term")
+        return document_ngrams(outliers, text, stop_words, 1, 1).join(F.broadcast(packed), "term")
     lanes = max(lanes, -(-(pairs or 0) // PAIRS_PER_LANE))
     parts = PAIRS_PER_LANE // PAIRS_PER_PART
     lane, part = (F.pmod(F.xxhash64(c), F.lit(n)) for c, n in (("doc_id", lanes), ("term", parts)))
-    dealt = durable(doc_terms.withColumn("_part", lane * parts + part))
+    texts = outliers.select("doc_id", text).repartition(lanes, F.xxhash64("doc_id", text))
+    dealt = document_ngrams(texts, text, stop_words, 1, 1).withColumn("_part", lane * parts + part)
     there = packed.join(shuffled(dealt.select("_part", "term").distinct()), "term")
     both = there.unionByName(dealt, allowMissingColumns=True).repartition(lanes * parts, "_part")
     # Each term's weights come first in its part; the rows after it are documents.
@@ -179,8 +181,7 @@ def reassign_outliers(
     weights = durable(weights)
     in_topics = weights.where(F.col("topic") != OUTLIER)
     topic_norms = in_topics.groupBy("topic").agg(F.sqrt(F.sum(F.col("score") * F.col("score"))).alias("_topic_norm"))
-    doc_terms = document_ngrams(docs.where(F.col("topic") == OUTLIER), text, stop_words, 1, 1)
-    matched = matched_terms(doc_terms, weights, salts, lookup_terms)
+    matched = matched_terms(docs.where(F.col("topic") == OUTLIER), weights, text, stop_words, salts, lookup_terms)
     # The document's own norm is the same for all its topics and cannot change the choice.
     dots = (
         matched.select("doc_id", (F.col("tf") * F.col("idf")).alias("_w"), F.inline("_topics"))

@@ -17,7 +17,7 @@ def test_a_task_of_the_reassignment_meets_few_documents(spark, monkeypatch):
         docs = corpus(n)
         weights = w.ctfidf(w.term_counts(docs))
         terms = document_ngrams(docs.where("topic = -1"), "abstract", None, 1, 1)
-        matched = w.matched_terms(terms, weights, 1, 0)
+        matched = w.matched_terms(docs.where("topic = -1"), weights, "abstract", None, 1, 0)
         assert matched.count() == terms.count()
         return matched.groupBy(F.spark_partition_id()).agg(F.countDistinct("doc_id").alias("n")).agg(F.max("n")).first()[0]
 
