@@ -39,6 +39,11 @@ def _bit_length(x: np.ndarray) -> np.ndarray:
     return np.ceil(np.log2(x.astype(np.float64) + 1)).astype(np.int64)
 
 
+def _holds(width: int) -> np.dtype:
+    """Little-endian numbers of 16 bits, or 32 if these are too few."""
+    return np.dtype("<u2" if width <= 16 else "<u4")
+
+
 def encode_segment(doc_ids: np.ndarray, sizes: np.ndarray, ids: np.ndarray, unnamed: int = 0) -> bytes:
     """The image of documents with the given ids and numbers of token ids; the first `unnamed` ones have no id."""
     blocks = -(-len(ids) // BLOCK)
@@ -64,8 +69,9 @@ def encode_segment(doc_ids: np.ndarray, sizes: np.ndarray, ids: np.ndarray, unna
             continue
         for at in range(0, len(rows), 2048):
             some = rows[at : at + 2048]
-            bits = (gap[some][:, :, None] >> np.arange(w, dtype=np.uint32)) & np.uint32(1)
-            made = np.packbits(bits.astype(np.uint8).reshape(len(some), -1), axis=1, bitorder="little")
+            kind = _holds(w)
+            bits = np.unpackbits(gap[some].astype(kind).view(np.uint8).reshape(len(some), BLOCK, -1), axis=2, count=w, bitorder="little")
+            made = np.packbits(bits.reshape(len(some), -1), axis=1, bitorder="little")
             for r, image in zip(some, made, strict=True):
                 packed[r] = image.tobytes()
     row, position = np.nonzero(outlier)
@@ -113,14 +119,16 @@ def read_blocks(image: bytes, first: int = 0, last: int | None = None) -> np.nda
         for k in range(0, len(rows), 2048):
             some = rows[k : k + 2048]
             raw = data[at[some][:, None] + np.arange(BLOCK * w // 8)]
-            bits = np.unpackbits(raw, axis=1, bitorder="little").reshape(len(some), BLOCK, w)
-            out[some] = bits @ (np.uint64(1) << np.arange(w, dtype=np.uint64))
+            kind = _holds(w)
+            bits = np.zeros((len(some), BLOCK, 8 * kind.itemsize), np.uint8)
+            bits[:, :, :w] = np.unpackbits(raw, axis=1, bitorder="little").reshape(len(some), BLOCK, w)
+            out[some] = np.packbits(bits.reshape(len(some), -1), axis=1, bitorder="little").view(kind)
     at += BLOCK * width // 8
-    for b in np.flatnonzero(head["exceptions"]):
-        n = int(head["exceptions"][b])
-        position = data[at[b] : at[b] + n]
-        high = np.frombuffer(image, "<u4", n, int(at[b]) + n).astype(np.uint64)
-        out[b, position] |= high << np.uint64(width[b])
+    many = head["exceptions"].astype(np.int64)
+    row = np.repeat(np.arange(len(at)), many)
+    nth = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+    high = data[(at[row] + many[row] + 4 * nth)[:, None] + np.arange(4)].view("<u4")[:, 0].astype(np.uint64)
+    out[row, data[at[row] + nth]] |= high << width[row].astype(np.uint64)
     ids = (out + head["low"].astype(np.uint64)[:, None]).astype(np.uint32)
     return ids[np.arange(BLOCK) < head["count"].astype(np.int64)[:, None]]
 
@@ -141,7 +149,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
             texts = batch.column("text").fill_null("")
             named = batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
             numbers = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False)
-            for i, j in slices(text_buffers(texts)[1], 1_000_000):
+            for i, j in slices(text_buffers(texts)[1], 2_000_000):
                 ids, at = encode_texts(texts.slice(i, j - i).to_pylist())
                 full = np.full(len(ids) + j - i, end_id, np.uint32)
                 full[np.arange(len(ids)) + np.repeat(np.arange(j - i), np.diff(at))] = ids
