@@ -30,6 +30,7 @@ from corpuslens.session import durable, scratch_path
 
 HELD_OUT_OF = 10
 CHUNK_BYTES = 12_000_000
+STEP_TOKENS = 1 << 18
 SAMPLES = 2
 STRENGTH = 1.0
 #: Customers of a pair are seated one by one up to this many, then in blocks of a quarter of those seated.
@@ -85,27 +86,43 @@ def held_out(doc_id: object) -> bool:
     return zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % HELD_OUT_OF == 0
 
 
+def _numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the distinct values, for each value the number of its distinct one)."""
+    distinct, at = np.unique(values, return_inverse=True)
+    return distinct, at.astype(np.uint32)
+
+
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """`_numbered` of all values, from that of their parts, which are used up."""
+    distinct = np.unique(np.concatenate([found for found, _ in parts]))
+    for k, (found, at) in enumerate(parts):
+        parts[k] = (found[:0], np.searchsorted(distinct, found).astype(np.uint32)[at])
+    return distinct, np.concatenate([at for _, at in parts])
+
+
 def _chunk(data: np.ndarray, offsets: np.ndarray, held: np.ndarray, buckets: int) -> dict:
     """The (word, context) pairs of some texts: their training counts by bucket, and the texts as pairs."""
-    # A slice has millions of tokens: what is done with goes before the sorts.
+    # A chunk has millions of tokens: only the distinct ones of a small step are sorted together.
     rows, columns = _grid(buckets)
-    words = Words(data, offsets, lower=True)
-    texts, sizes = len(offsets) - 1, words.counts() + 1
-    place = np.arange(len(words.start))
-    place += words.texts()  # one end after each text before
-    token = np.full(len(place) + texts, _END, np.uint64)
-    token[place] = words.hashes()
-    del words, place
-    vocabulary, word = np.unique(token, return_inverse=True)
-    del token
+    counts, parts = [], []
+    for i, j in slices(offsets):
+        words = Words(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], lower=True)
+        token = np.full(len(words.start) + j - i, _END, np.uint64)
+        token[np.arange(len(words.start)) + words.texts()] = words.hashes()  # one end after each text before
+        counts.append(words.counts() + 1)
+        parts.append(_numbered(token))
+        del words, token
+    sizes = np.concatenate(counts)
+    vocabulary, word = _merged(parts)
     keys = np.append(vocabulary >> _DROPPED, _START)
-    code = word * len(keys)
-    code[1:] += word[:-1]
-    first = np.cumsum(sizes) - sizes
-    code[first] = word[first] * len(keys) + len(vocabulary)
-    del word
-    pair, seq = np.unique(code, return_inverse=True)
-    del code
+    context = np.empty_like(word)
+    context[1:] = word[:-1]
+    context[np.cumsum(sizes) - sizes] = len(vocabulary)
+    steps = range(0, len(word), STEP_TOKENS)
+    parts = [_numbered(word[a : a + STEP_TOKENS].astype(np.int64) * len(keys) + context[a : a + STEP_TOKENS]) for a in steps]
+    del word, context
+    pair, seq = _merged(parts)
+    del parts
     # Pairs in the order of their buckets, of words in these and of contexts.
     row = (vocabulary >> np.uint64(32)) * np.uint64(rows) >> np.uint64(32)
     column = (keys & np.uint64(0xFFFFFFFF)) * np.uint64(columns) >> np.uint64(32)
@@ -142,12 +159,16 @@ def read_chunks(docs: DataFrame, buckets: int) -> DataFrame:
                 ids = batch.column("doc_id").slice(i, j - i)
                 held = np.array([held_out(x) for x in ids.to_pylist()], bool)
                 c = _chunk(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], held, buckets)
-                yield pa.RecordBatch.from_arrays(
+                made = pa.RecordBatch.from_arrays(
                     [pa.array([(part << 32) + nth]), pa.ListArray.from_arrays(pa.array([0, j - i], pa.int32()), ids), pa.array([held.tolist()]),
                      pa.array([c["sizes"].tolist()], pa.list_(pa.int64())), pa.array([c["seq"]], pa.binary()), pa.array([c["per_word"]], pa.binary()),
                      pa.array([c["requests"]], arrow_request)],
                     names=["chunk", "doc_ids", "held", "sizes", "seq", "per_word", "requests"],
                 )
+                del c
+                yield made
+                del made
+                pa.default_memory_pool().release_unused()
                 nth += 1
 
     return id_and_text(docs).mapInArrow(
