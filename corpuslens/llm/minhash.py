@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpuslens.llm.components import components, joined
+from corpuslens.llm.listed import parted
 from corpuslens.llm.tables import documents, id_and_text, packed_rows, query
 from corpuslens.llm.words import Words, mix, shingles, slices, text_buffers
 from corpuslens.session import durable, small_side
@@ -299,14 +300,10 @@ def first_copies(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     rows, unpacked = packed_rows(docs)
     keyed = rows.withColumns({"doc_id": _id_of(docs), "h1": F.xxhash64("text"), "h2": F.hash("text")})
 
-    def listed(table: DataFrame, tuples: DataFrame, how: str) -> DataFrame:
-        other = tuples.toDF("d", "g1", "g2")
-        return table.join(other, F.expr("doc_id <=> d AND h1 = g1 AND h2 = g2"), how)
-
-    kept = listed(keyed, gone, "left_anti")
+    kept = parted(keyed, gone, row)[1]
     if not again.isEmpty():
-        single = listed(kept, again, "left_semi").groupBy(*row).agg(F.first(F.struct("_row", "text")).alias("r")).select("r.*", *row)
-        kept = listed(kept, again, "left_anti").unionByName(single)
+        repeated, kept = parted(kept, again, row)
+        kept = kept.unionByName(repeated.groupBy(*row).agg(F.first(F.struct("_row", "text")).alias("r")).select("r.*", *row))
     return unpacked(kept)
 
 
