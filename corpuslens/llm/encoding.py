@@ -17,6 +17,8 @@ import numpy as np
 from corpuslens.llm.words import SLICE_BYTES, span_hashes
 
 CACHE_ENTRIES = 500_000
+#: Stretches that the library gets in one text, and what parts them: no Latin text has this character.
+JOINED, _PART = 50, "\ue000"
 #: Latin letters that lower-casing and composition leave in this range.
 _LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f"
 #: Texts of these letters, ASCII and signs that are neither letters nor numbers: the vocabularies' own splits are exact
@@ -123,22 +125,35 @@ class Encoder:
 
     @cached_property
     def _plain(self):
-        """For stretches of Latin texts, in lower case if spaces are dropped: nothing is left to normalize or split."""
+        """For stretches of Latin texts, in lower case if spaces are dropped: nothing is left to normalize or split but
+        at _PART, a token of its own here."""
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         plain = Tokenizer.from_file(self._path)
         if plain.normalizer is not None:
             plain.normalizer = normalizers.Sequence([])
         plain.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        plain.add_special_tokens([_PART])
         return plain
 
     def _ids(self, texts: list[str], latin: bool = False) -> list[bytes]:
-        encode = (self._plain if latin else self._tokenizer).encode_batch_fast
-        found = [x.ids for x in encode(texts, add_special_tokens=False)]
+        if latin:
+            return self._joined_ids(texts)
+        found = [x.ids for x in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         raw = np.fromiter(chain.from_iterable(found), np.uint32).tobytes()
         ends = list(accumulate(map(len, found), initial=0))
         return [raw[4 * i : 4 * j] for i, j in pairwise(ends)]
 
+    def _joined_ids(self, stretches: list[str]) -> list[bytes]:
+        """The ids of Latin stretches, JOINED of them in a text: a result for each costs more than its ids."""
+        texts = [_PART.join(stretches[k : k + JOINED]) + _PART for k in range(0, len(stretches), JOINED)]
+        found = self._plain.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.fromiter(chain.from_iterable(x.ids for x in found), np.uint32)
+        parts = ids == self._plain.token_to_id(_PART)
+        raw = ids[~parts].tobytes()
+        ends = 4 * (np.flatnonzero(parts) - np.arange(len(stretches)))
+        return [raw[i:j] for i, j in pairwise([0, *ends.tolist()])]
+
     def _look_up(self, stretches: list[bytes], latin: bool) -> list[bytes]:
         """The ids of different stretches; those not met lately are forgotten."""
         if len(self._known) + len(stretches) > CACHE_ENTRIES // 2:
